@@ -149,4 +149,5 @@ class Star:
 
     @cached_property
     def rules(self) -> DataFrame:
-        return quality.run_quality_rules(self.spark, self.all_raw())
+        needed = {r["table"] for r in quality.RULES} | {r["reference"]["table"] for r in quality.RULES if "reference" in r}
+        return quality.run_quality_rules(self.spark, {n: self.raw(n) for n in needed})

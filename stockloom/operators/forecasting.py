@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from itertools import product
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.functions import accuracy
@@ -73,84 +75,63 @@ def sku_weekly_totals(panel: DataFrame) -> DataFrame:
     return panel.groupBy("sku_id", "week").agg(F.sum("units_sold").alias("actual_units"))
 
 
-def _starting_state(series: Column) -> tuple[Column, Column]:
-    """Level and trend just before the first point: the least-squares line through the first ten."""
-    head = F.slice(series, 1, 10)
-    m = F.size(head).cast("double")
-    total = F.aggregate(head, F.lit(0.0), lambda a, y: a + y)
-    positions = F.sequence(F.lit(1), F.size(head))
-    weighted = F.aggregate(
-        F.zip_with(positions, head, lambda i, y: i * y), F.lit(0.0), lambda a, y: a + y
-    )
-    centre = (m + 1) / 2
-    slope = (weighted - centre * total) / (m * (m * m - 1) / 12)
-    return total / m - slope * centre, slope
-
-
-def _fold(series: Column, level: Column, trend: Column, alpha: Column, beta: Column, phi: Column) -> Column:
-    """Run the smoothing recursion over a series; the result holds the last state and the squared one-step errors."""
-    start = F.named_struct(F.lit("l"), level, F.lit("b"), trend, F.lit("sse"), F.lit(0.0))
+def _smooth(y: np.ndarray, grid: np.ndarray) -> tuple[float, float, float]:
+    """Last level, last trend and damping factor of the best grid point for one series.
 
-    def step(s: Column, y: Column) -> Column:
-        expected = s["l"] + phi * s["b"]
-        smoothed = alpha * y + (1 - alpha) * expected
-        slope = beta * (smoothed - s["l"]) + (1 - beta) * phi * s["b"]
-        return F.struct(
-            smoothed.alias("l"), slope.alias("b"), (s["sse"] + (y - expected) * (y - expected)).alias("sse")
-        )
-
-    return F.aggregate(series, start, step)
+    All grid points advance together, one vector step per observation. Level and trend start on the least-squares line
+    through the first ten points.
+    """
+    head = y[:10]
+    position = np.arange(1, len(head) + 1) - (len(head) + 1) / 2
+    slope = float(position @ head) / float(position @ position)
+    alpha, beta, phi = grid.T
+    level = np.full(len(grid), head.mean() - slope * (len(head) + 1) / 2)
+    trend = np.full(len(grid), slope)
+    error = np.zeros(len(grid))
+    for value in y:
+        expected = level + phi * trend
+        smoothed = alpha * value + (1 - alpha) * expected
+        trend = beta * (smoothed - level) + (1 - beta) * phi * trend
+        level = smoothed
+        error += (value - expected) ** 2
+    best = int(np.argmin(error))
+    return float(level[best]), float(trend[best]), float(phi[best])
 
 
 def forecast_exponential_smoothing(panel: DataFrame, test_weeks: int = 8, grid=None) -> DataFrame:
     """Damped-trend smoothing of each SKU total, fitted on all but the last ``test_weeks`` points.
 
     The parameters with the smallest one-step error on the grid win. A SKU is one row with its weekly totals as an
-    array (as long as the history has weeks), and the whole fit is a fold inside that row: after the grouping there is
-    no further shuffle and no Python. SKUs with fewer than ``test_weeks + 8`` points are left out.
+    array, as long as the history has weeks. The recursion over it is the one step done in Python: an Arrow batch of
+    series with all grid points in one vector is far cheaper than folding each grid point with interpreted array
+    functions. SKUs with fewer than ``test_weeks + 8`` points are left out.
     """
-    grid = ETS_GRID if grid is None else grid
-    cases = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.lit(float(a)).alias("alpha"),
-                F.lit(float(b)).alias("beta"),
-                F.lit(float(p)).alias("phi"),
-            )
-            for i, (a, b, p) in enumerate(grid)
-        ]
-    )
+    points_of_grid = np.array(ETS_GRID if grid is None else grid, dtype=float)
+
+    @F.pandas_udf("l double, b double, phi double")
+    def fit(series: pd.Series) -> pd.DataFrame:
+        rows = [_smooth(np.asarray(y, dtype=float), points_of_grid) for y in series]
+        return pd.DataFrame(rows, columns=["l", "b", "phi"])
+
     # A fixed partition count keeps this compute-heavy stage spread out although its bytes are few.
     partitions = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    series = (
+    points = F.col("points")
+    training = F.slice(points, F.lit(1), F.size(points) - test_weeks)
+    fitted = (
         sku_weekly_totals(panel)
         .repartition(partitions, "sku_id")
         .groupBy("sku_id")
         .agg(F.array_sort(F.collect_list(F.struct("week", "actual_units"))).alias("points"))
         .where(F.size("points") >= test_weeks + 8)
-        .withColumn("held_out", F.slice("points", -test_weeks, test_weeks))
-        .withColumn(
-            "y",
-            F.transform(
-                F.slice("points", F.lit(1), F.size("points") - test_weeks),
-                lambda p: F.greatest(p["actual_units"].cast("double"), F.lit(0.1)),
-            ),
+        .select(
+            "sku_id",
+            F.slice(points, -test_weeks, test_weeks).alias("held_out"),
+            fit(F.transform(training, lambda p: F.greatest(p["actual_units"].cast("double"), F.lit(0.1)))).alias("fit"),
         )
     )
-    level, trend = _starting_state(F.col("y"))
-    series = series.withColumn("l0", level).withColumn("b0", trend)
-
-    def candidate(g: Column) -> Column:
-        end = _fold(F.col("y"), F.col("l0"), F.col("b0"), g["alpha"], g["beta"], g["phi"])
-        return F.struct(end["sse"].alias("sse"), g["i"].alias("i"), g["phi"].alias("phi"), end["l"].alias("l"), end["b"].alias("b"))
-
-    # The generator between the fit and its use keeps the optimiser from repeating the fold per output column.
-    best = series.select(
-        "sku_id", F.posexplode("held_out").alias("h", "point"), F.array_min(F.transform(cases, candidate)).alias("fit")
-    )
+    ahead = fitted.select("sku_id", "fit", F.posexplode("held_out").alias("h", "point"))
     damping = F.aggregate(F.sequence(F.lit(1), F.col("h") + 1), F.lit(0.0), lambda a, i: a + F.pow(F.col("fit.phi"), i))
-    return best.select(
+    return ahead.select(
         "sku_id",
         F.col("point.week").alias("week"),
         F.col("point.actual_units").alias("actual_units"),

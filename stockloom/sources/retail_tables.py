@@ -9,34 +9,28 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom.operators.inventory import lead_time_statistics
+from stockloom.sources.schemas import RAW_SCHEMAS, SOURCE_SCHEMAS
 
 # Fixed values of the mapping.
-PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-PROMO_TYPES = [("BOGO", 75.0), ("Feature Display", 15.0), ("Multi-buy", 40.0), ("Percent Off", 25.0)]
-QUOTED_DAYS = {"1-URGENT": 30, "2-HIGH": 45, "3-MEDIUM": 60, "4-NOT SPECIFIED": 75, "5-LOW": 90}
-HOLIDAYS = [(1, 1, "New Year", "High"), (4, 25, "Spring Day", "Low"), (12, 25, "Midwinter Day", "High")]
+PART_TYPES = "array('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD')"
+PROMO_TYPES = "array('BOGO', 'Feature Display', 'Multi-buy', 'Percent Off')"
+PROMO_PLANS = "array(75D, 15D, 40D, 25D)"
+QUOTED_DAYS = "map('1-URGENT', 30, '2-HIGH', 45, '3-MEDIUM', 60, '4-NOT SPECIFIED', 75, '5-LOW', 90)"
+HOLIDAYS = (
+    "stack(3, 1, 1, 'New Year', 'High', 4, 25, 'Spring Day', 'Low', 12, 25, 'Midwinter Day', 'High') "
+    "as (m, d, name, impact)"
+)
 UNITS_PER_CASE = 4
 
+BAND = "cast(floor((p_size - 1) / 10) as int)"
 
-def _band(size: str) -> Column:
-    return F.floor((F.col(size) - 1) / 10).cast("int")
 
-
-def _sku(kind: Column, band: Column) -> Column:
-    return F.concat_ws("-", kind, band.cast("string"))
-
-
-def _sku_by_ordinal(ordinal: Column) -> Column:
-    kinds = F.array(*[F.lit(t) for t in PART_TYPES])
-    return _sku(F.get(kinds, (ordinal % 6).cast("int")), F.floor(ordinal / 6).cast("int"))
-
-
-def _id(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix + "-"), key.cast("string"))
+def _sku_by_ordinal(ordinal: str) -> str:
+    return f"concat(get({PART_TYPES}, cast(({ordinal}) % 6 as int)), '-', ({ordinal}) div 6)"
 
 
 class RetailTables:
@@ -45,171 +39,164 @@ class RetailTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._sources: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """Source table with its declared schema, so that describing a table starts no job."""
+        if name not in self._sources:
+            reader = self.spark.read.schema(SOURCE_SCHEMAS[name])
+            self._sources[name] = reader.parquet(f"{self.folder}/{name}.parquet")
+        return self._sources[name]
 
     # --- master data -------------------------------------------------------------------------------------------
 
     def products(self) -> DataFrame:
-        kind = F.col("p_type")
-        price = F.max("p_retailprice")
         return (
             self.source("part")
             .groupBy("p_type")
-            .agg(price.alias("price"), F.max("p_size").alias("size"), F.min("p_brand").alias("brand"))
-            .select(
-                _id("PROD", kind).alias("product_id"),
-                kind.alias("category"),
-                F.concat(kind, F.lit(" GOODS")).alias("subcategory"),
+            .agg(F.expr("max(p_retailprice) as price"), F.expr("max(p_size) as size"), F.expr("min(p_brand) as brand"))
+            .selectExpr(
+                "concat('PROD-', p_type) as product_id",
+                "p_type as category",
+                "concat(p_type, ' GOODS') as subcategory",
                 "brand",
-                F.when(kind != "PROMO", F.col("price") * 0.6).alias("unit_cost"),
-                F.col("price").alias("unit_price"),
-                (F.col("size") * 7).alias("shelf_life_days"),
-                kind.isin("PROMO", "SMALL").alias("is_seasonal"),
-                F.lit("1994-01-01").cast("date").alias("launch_date"),
-                F.lit(False).alias("discontinued"),
+                "if(p_type <> 'PROMO', price * 0.6D, null) as unit_cost",
+                "price as unit_price",
+                "size * 7 as shelf_life_days",
+                "p_type in ('PROMO', 'SMALL') as is_seasonal",
+                "date'1994-01-01' as launch_date",
+                "false as discontinued",
             )
         )
 
-    def skus(self) -> DataFrame:
-        kind, band = F.col("p_type"), F.col("band")
+    def _parts_by_band(self, *aggregates: str) -> DataFrame:
         return (
             self.source("part")
-            .groupBy("p_type", _band("p_size").alias("band"))
-            .agg(F.max("p_retailprice").alias("price"), F.min("p_partkey").alias("first_part"))
-            .select(
-                _sku(kind, band).alias("sku_id"),
-                _id("PROD", kind).alias("product_id"),
-                kind.alias("category"),
-                F.concat(kind, F.lit(" GOODS")).alias("subcategory"),
-                _id("BAND", band).alias("pack_size"),
-                F.lit("EA").alias("uom"),
-                F.col("first_part").cast("string").alias("barcode"),
-                (F.col("price") * 0.6).alias("unit_cost"),
-                F.col("price").alias("unit_price"),
-                F.lit(UNITS_PER_CASE).alias("case_pack_qty"),
-                F.lit(False).alias("discontinued"),
-            )
+            .groupBy("p_type", F.expr(f"{BAND} as band"))
+            .agg(*[F.expr(a) for a in aggregates])
+            .selectExpr("*", "concat(p_type, '-', band) as sku_id")
+        )
+
+    def skus(self) -> DataFrame:
+        return self._parts_by_band("max(p_retailprice) as price", "min(p_partkey) as first_part").selectExpr(
+            "sku_id",
+            "concat('PROD-', p_type) as product_id",
+            "p_type as category",
+            "concat(p_type, ' GOODS') as subcategory",
+            "concat('BAND-', band) as pack_size",
+            "'EA' as uom",
+            "cast(first_part as string) as barcode",
+            "price * 0.6D as unit_cost",
+            "price as unit_price",
+            f"{UNITS_PER_CASE} as case_pack_qty",
+            "false as discontinued",
         )
 
     def stores(self) -> DataFrame:
-        key = F.col("r_regionkey")
-        return self.source("region").select(
-            _id("STR", key).alias("store_id"),
-            F.col("r_name").alias("region"),
-            _id("WH", key).alias("warehouse_id"),
-            F.when(key <= 1, "Metro").when(key <= 3, "Regional").otherwise("Express").alias("store_format"),
-            (F.lit(500.0) + key * 250).alias("size_sqm"),
-            F.lit("1990-01-01").cast("date").alias("open_date"),
+        return self.source("region").selectExpr(
+            "concat('STR-', r_regionkey) as store_id",
+            "r_name as region",
+            "concat('WH-', r_regionkey) as warehouse_id",
+            "case when r_regionkey <= 1 then 'Metro' when r_regionkey <= 3 then 'Regional' else 'Express' end "
+            "as store_format",
+            "500D + r_regionkey * 250 as size_sqm",
+            "date'1990-01-01' as open_date",
         )
 
     def warehouses(self) -> DataFrame:
-        key = F.col("r_regionkey")
-        return self.source("region").select(
-            _id("WH", key).alias("warehouse_id"),
-            F.col("r_name").alias("region"),
-            F.lit("Regional").alias("warehouse_type"),
-            (F.lit(100000) + key * 20000).cast("int").alias("capacity_units"),
+        return self.source("region").selectExpr(
+            "concat('WH-', r_regionkey) as warehouse_id",
+            "r_name as region",
+            "'Regional' as warehouse_type",
+            "100000 + r_regionkey * 20000 as capacity_units",
         )
 
-    def _supplier_regions(self) -> DataFrame:
-        return (
-            self.source("supplier")
-            .join(self.source("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .select("s_suppkey", "s_name", "s_acctbal", "n_regionkey")
-        )
+    def _supplier_regions(self, *columns: str) -> DataFrame:
+        nations = self.source("nation").select("n_nationkey", "n_regionkey")
+        return self.source("supplier").join(nations, F.expr("s_nationkey = n_nationkey")).select(*columns)
 
     def suppliers(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        kinds = F.array(*[F.lit(t) for t in PART_TYPES])
-        score = F.least(F.lit(0.99), F.greatest(F.lit(0.5), F.lit(0.7) + F.col("s_acctbal") / 40000))
         return (
-            self._supplier_regions()
-            .join(self.source("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                _id("SUP", key).alias("supplier_id"),
-                F.col("s_name").alias("supplier_name"),
-                F.get(kinds, (key % 6).cast("int")).alias("primary_category"),
-                F.col("r_name").alias("region_of_origin"),
-                score.alias("reliability_score"),
-                F.lit("1993-01-01").cast("date").alias("onboarding_date"),
+            self._supplier_regions("s_suppkey", "s_name", "s_acctbal", "n_regionkey")
+            .join(self.source("region"), F.expr("n_regionkey = r_regionkey"))
+            .selectExpr(
+                "concat('SUP-', s_suppkey) as supplier_id",
+                "s_name as supplier_name",
+                f"get({PART_TYPES}, cast(s_suppkey % 6 as int)) as primary_category",
+                "r_name as region_of_origin",
+                "least(0.99D, greatest(0.5D, 0.7D + s_acctbal / 40000)) as reliability_score",
+                "date'1993-01-01' as onboarding_date",
             )
         )
 
     # --- movements ---------------------------------------------------------------------------------------------
 
-    def _per_cell(self, lines: DataFrame, *aggregates: Column) -> DataFrame:
+    def _per_cell(self, condition: str, *aggregates: str) -> DataFrame:
         """Order lines per day, store (region of the supplier) and SKU.
 
         Grouping runs on the short source keys; identifiers are spelled out once per cell afterwards.
         """
+        parts = self.source("part").selectExpr("p_partkey", "p_type", f"{BAND} as band")
         return (
-            lines.join(
-                self._supplier_regions().select("s_suppkey", "n_regionkey"), F.col("l_suppkey") == F.col("s_suppkey")
-            )
-            .join(
-                self.source("part").select("p_partkey", "p_type", _band("p_size").alias("band")),
-                F.col("l_partkey") == F.col("p_partkey"),
+            self.source("lineitem")
+            .where(condition)
+            .join(self._supplier_regions("s_suppkey", "n_regionkey"), F.expr("l_suppkey = s_suppkey"))
+            .join(parts, F.expr("l_partkey = p_partkey"))
+            .groupBy(F.expr("to_date(l_shipdate) as date"), "n_regionkey", "p_type", "band")
+            .agg(*[F.expr(a) for a in aggregates])
+            .selectExpr(
+                "*", "concat('STR-', n_regionkey) as store_id", "concat(p_type, '-', band) as sku_id"
             )
-            .groupBy(F.to_date("l_shipdate").alias("date"), "n_regionkey", "p_type", "band")
-            .agg(*aggregates)
-            .withColumn("store_id", _id("STR", F.col("n_regionkey")))
-            .withColumn("sku_id", _sku(F.col("p_type"), F.col("band")))
-            .drop("n_regionkey", "p_type", "band")
         )
 
     def daily_sales(self) -> DataFrame:
         """Units and revenue per day, store and SKU; untaxed cells lost their revenue, some cells were loaded twice."""
-        cells = self._per_cell(
-            self.source("lineitem"),
-            (F.sum("l_quantity") * UNITS_PER_CASE).cast("bigint").alias("units_sold"),
-            F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
-            F.max(F.col("l_discount") >= 0.08).alias("promo_flag"),
-            F.max("l_tax").alias("tax"),
-            F.max("l_linenumber").alias("last_line"),
-        )
-        copies = F.when(F.col("last_line") == 7, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-        return cells.withColumn("copy", F.explode(copies)).select(
+        return self._per_cell(
+            "true",
+            f"cast(sum(l_quantity) * {UNITS_PER_CASE} as bigint) as units_sold",
+            "sum(l_extendedprice * (1 - l_discount)) as revenue",
+            "max(l_discount >= 0.08) as promo_flag",
+            "max(l_tax) as tax",
+            "max(l_linenumber) as last_line",
+        ).selectExpr(
             "date",
             "store_id",
             "sku_id",
             "units_sold",
-            F.when(F.col("tax") > 0, F.col("revenue")).alias("revenue"),
+            "if(tax > 0, revenue, null) as revenue",
             "promo_flag",
-        )
+            "explode(if(last_line = 7, array(1, 2), array(1))) as copy",
+        ).drop("copy")
 
     def inventory_snapshots(self) -> DataFrame:
-        user = F.col("user_id")
-        warehouse = F.col("event_type").isin("error", "signup")
-        place = F.floor(user / 30) % 5
-        cents = F.sum(F.round(F.col("value") * 100).cast("bigint"))
-        on_order = F.sum(F.get_json_object("props", "$.k").cast("bigint"))
+        outer = "event_type in ('error', 'signup')"
         return (
             self.source("events")
             .groupBy(
-                F.to_date("ts").alias("date"),
-                F.when(warehouse, "Warehouse").otherwise("Store").alias("location_type"),
-                F.when(warehouse, _id("WH", place)).otherwise(_id("STR", place)).alias("location_id"),
-                _sku_by_ordinal(user % 30).alias("sku_id"),
+                F.expr("to_date(ts) as date"),
+                F.expr(f"if({outer}, 'Warehouse', 'Store') as location_type"),
+                F.expr(f"concat(if({outer}, 'WH-', 'STR-'), (user_id div 30) % 5) as location_id"),
+                F.expr(f"{_sku_by_ordinal('user_id % 30')} as sku_id"),
             )
-            .agg((cents / (F.count("*") * 100)).alias("level"), (on_order / F.count("*")).alias("on_order_units"))
-            .select(
+            .agg(
+                F.expr("sum(cast(round(value * 100) as bigint)) / (count(*) * 100) as level"),
+                F.expr("sum(cast(get_json_object(props, '$.k') as bigint)) / count(*) as on_order_units"),
+            )
+            .selectExpr(
                 "date",
                 "location_type",
                 "location_id",
                 "sku_id",
-                (F.col("level") - 1).alias("on_hand_units"),
+                "level - 1 as on_hand_units",
                 "on_order_units",
-                F.lit(10.0).alias("safety_stock_units"),
-                (F.col("level") / 20).alias("days_of_supply"),
+                "10D as safety_stock_units",
+                "level / 20 as days_of_supply",
             )
         )
 
     def purchase_orders(self) -> DataFrame:
         """Order lines shipped 1 to 120 days after the order; one brand was never registered as a SKU."""
-        quoted = F.create_map(*[F.lit(x) for pair in QUOTED_DAYS.items() for x in pair])
-        lines = self.source("lineitem").select(
+        lines = self.source("lineitem").selectExpr(
             "l_orderkey",
             "l_partkey",
             "l_suppkey",
@@ -217,32 +204,28 @@ class RetailTables:
             "l_quantity",
             "l_extendedprice",
             "l_returnflag",
-            F.to_date("l_shipdate").alias("shipped"),
+            "to_date(l_shipdate) as shipped",
         )
-        orders = self.source("orders").select(
-            "o_orderkey", "o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("ordered")
+        orders = self.source("orders").selectExpr(
+            "o_orderkey", "o_custkey", f"{QUOTED_DAYS}[o_orderpriority] as quoted", "to_date(o_orderdate) as ordered"
         )
-        parts = self.source("part").select("p_partkey", "p_type", "p_size", "p_brand")
-        expected = F.date_add("ordered", quoted[F.col("o_orderpriority")])
-        received = F.when(F.col("l_returnflag") == "R", F.col("l_quantity") * 9).otherwise(F.col("l_quantity") * 10)
+        parts = self.source("part").selectExpr("p_partkey", "p_type", f"{BAND} as band", "p_brand")
         return (
-            lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .where(F.datediff("shipped", "ordered").between(1, 120))
-            .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-            .select(
-                F.concat_ws("-", F.lit("PO"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("po_id"),
-                _id("SUP", F.col("l_suppkey")).alias("supplier_id"),
-                F.when(F.col("p_brand") == "Brand#13", _id("UNREGISTERED", F.col("p_type")))
-                .otherwise(_sku(F.col("p_type"), _band("p_size")))
-                .alias("sku_id"),
-                _id("WH", F.col("o_custkey") % 5).alias("warehouse_id"),
-                F.col("ordered").alias("order_date"),
-                expected.alias("expected_delivery_date"),
-                F.col("shipped").alias("actual_delivery_date"),
-                (F.col("l_quantity") * 10).alias("quantity_ordered"),
-                received.alias("quantity_received"),
-                (F.col("l_extendedprice") / F.col("l_quantity") * 0.6).alias("unit_cost"),
-                F.when(F.col("shipped") > expected, "Late").otherwise("Received").alias("status"),
+            lines.join(orders, F.expr("l_orderkey = o_orderkey"))
+            .where("datediff(shipped, ordered) between 1 and 120")
+            .join(parts, F.expr("l_partkey = p_partkey"))
+            .selectExpr(
+                "concat_ws('-', 'PO', l_orderkey, l_linenumber, l_partkey, l_suppkey) as po_id",
+                "concat('SUP-', l_suppkey) as supplier_id",
+                "if(p_brand = 'Brand#13', concat('UNREGISTERED-', p_type), concat(p_type, '-', band)) as sku_id",
+                "concat('WH-', o_custkey % 5) as warehouse_id",
+                "ordered as order_date",
+                "date_add(ordered, quoted) as expected_delivery_date",
+                "shipped as actual_delivery_date",
+                "l_quantity * 10 as quantity_ordered",
+                "l_quantity * if(l_returnflag = 'R', 9, 10) as quantity_received",
+                "l_extendedprice / l_quantity * 0.6D as unit_cost",
+                "if(shipped > date_add(ordered, quoted), 'Late', 'Received') as status",
             )
         )
 
@@ -250,156 +233,127 @@ class RetailTables:
         return lead_time_statistics(self.purchase_orders(), self.skus())
 
     def stock_outs(self) -> DataFrame:
-        lines = self.source("lineitem").where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"))
-        lost = self._per_cell(lines, F.sum("l_quantity").cast("bigint").alias("units"))
-        return lost.join(self.skus().select("sku_id", "unit_price"), "sku_id").select(
+        lost = self._per_cell(
+            "l_returnflag = 'R' and l_linestatus = 'O'", "cast(sum(l_quantity) as bigint) as units"
+        )
+        return lost.join(self.skus().select("sku_id", "unit_price"), "sku_id").selectExpr(
             "date",
             "store_id",
             "sku_id",
-            (F.col("units") >= 10).alias("stockout_flag"),
-            F.col("units").alias("lost_sales_units_estimate"),
-            (F.col("units") * F.col("unit_price")).alias("lost_sales_revenue_estimate"),
+            "units >= 10 as stockout_flag",
+            "units as lost_sales_units_estimate",
+            "units * unit_price as lost_sales_revenue_estimate",
         )
 
     def replenishment_decisions(self) -> DataFrame:
-        key, place = F.col("o_orderkey"), F.col("o_custkey") % 5
-        warehouse = F.col("o_custkey") % 7 == 0
-        wanted = F.floor(F.col("o_totalprice") / 1000).cast("double")
-        override = (F.col("o_orderstatus") == "P") & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-        return self.source("orders").select(
-            _id("DEC", key).alias("decision_id"),
-            F.to_date("o_orderdate").alias("date"),
-            _sku_by_ordinal(key % 30).alias("sku_id"),
-            F.when(warehouse, "Warehouse").otherwise("Store").alias("location_type"),
-            F.when(warehouse, _id("WH", place)).otherwise(_id("STR", place)).alias("location_id"),
-            wanted.alias("recommended_order_qty"),
-            (wanted / 2).alias("reorder_point"),
-            (wanted / 4).alias("safety_stock_units"),
-            F.when(override, F.floor(wanted * 0.75).cast("double")).otherwise(wanted).alias("approved_qty"),
-            F.when(override, "Planner Review").otherwise("System Auto-Replenishment").alias("approver"),
-            override.alias("override_flag"),
-            F.when(override, F.concat(F.lit("Priority "), "o_orderpriority")).otherwise("").alias("override_reason"),
-            F.when(override, "Manual override").otherwise("Auto-approved").alias("decision_status"),
+        return (
+            self.source("orders")
+            .selectExpr(
+                "*",
+                "cast(floor(o_totalprice / 1000) as double) as wanted",
+                "o_orderstatus = 'P' and o_orderpriority in ('1-URGENT', '2-HIGH') as planner",
+                "o_custkey % 7 = 0 as outer",
+            )
+            .selectExpr(
+                "concat('DEC-', o_orderkey) as decision_id",
+                "to_date(o_orderdate) as date",
+                f"{_sku_by_ordinal('o_orderkey % 30')} as sku_id",
+                "if(outer, 'Warehouse', 'Store') as location_type",
+                "concat(if(outer, 'WH-', 'STR-'), o_custkey % 5) as location_id",
+                "wanted as recommended_order_qty",
+                "wanted / 2 as reorder_point",
+                "wanted / 4 as safety_stock_units",
+                "if(planner, cast(floor(wanted * 0.75D) as double), wanted) as approved_qty",
+                "if(planner, 'Planner Review', 'System Auto-Replenishment') as approver",
+                "planner as override_flag",
+                "if(planner, concat('Priority ', o_orderpriority), '') as override_reason",
+                "if(planner, 'Manual override', 'Auto-approved') as decision_status",
+            )
         )
 
     def returns(self) -> DataFrame:
-        lines = self.source("lineitem").where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"))
-        return self._per_cell(lines, F.sum("l_quantity").cast("bigint").alias("quantity")).select(
-            F.concat_ws("-", F.lit("RET"), "date", "store_id", "sku_id").alias("return_id"),
+        return self._per_cell(
+            "l_returnflag = 'R' and l_linestatus = 'F'", "cast(sum(l_quantity) as bigint) as quantity"
+        ).selectExpr(
+            "concat_ws('-', 'RET', date, store_id, sku_id) as return_id",
             "date",
             "store_id",
             "sku_id",
             "quantity",
-            F.lit("Customer change of mind").alias("reason"),
+            "'Customer change of mind' as reason",
         )
 
     def markdowns(self) -> DataFrame:
-        lines = self.source("lineitem").where((F.col("l_returnflag") == "N") & (F.col("l_discount") >= 0.1))
-        return self._per_cell(lines, F.count("*").alias("n")).select(
-            F.concat_ws("-", F.lit("MKD"), "date", "store_id", "sku_id").alias("markdown_id"),
+        return self._per_cell("l_returnflag = 'N' and l_discount >= 0.1D", "count(*) as n").selectExpr(
+            "concat_ws('-', 'MKD', date, store_id, sku_id) as markdown_id",
             "sku_id",
             "store_id",
             "date",
-            F.when(F.col("n") > 1, 25).otherwise(15).alias("markdown_pct"),
-            F.lit("Clearance").alias("reason"),
+            "if(n > 1, 25, 15) as markdown_pct",
+            "'Clearance' as reason",
         )
 
     # --- calendars ---------------------------------------------------------------------------------------------
 
     def promotions(self) -> DataFrame:
         """One campaign per SKU and year."""
-        kinds = F.array(*[F.lit(t) for t in PART_TYPES])
-        ordinal = F.col("ordinal")
-        names = F.array(*[F.lit(n) for n, _ in PROMO_TYPES])
-        plans = F.array(*[F.lit(p) for _, p in PROMO_TYPES])
         return (
-            self.source("part")
-            .groupBy("p_type", _band("p_size").alias("band"))
-            .count()
-            .withColumn("ordinal", F.array_position(kinds, F.col("p_type")).cast("int") - 1 + F.col("band") * 6)
-            .withColumn("year", F.explode(F.sequence(F.lit(1996), F.lit(2000))))
-            .withColumn("start_date", F.date_add(F.make_date("year", F.lit(1), F.lit(1)), ordinal * 11))
-            .select(
-                F.concat_ws("-", F.lit("PROMO"), "ordinal", "year").alias("promo_id"),
-                _sku(F.col("p_type"), F.col("band")).alias("sku_id"),
+            self._parts_by_band("count(*) as n")
+            .selectExpr(
+                "sku_id",
+                f"cast(array_position({PART_TYPES}, p_type) as int) - 1 + band * 6 as ordinal",
+                "explode(sequence(1996, 2000)) as year",
+            )
+            .selectExpr("*", "date_add(make_date(year, 1, 1), ordinal * 11) as start_date")
+            .selectExpr(
+                "concat_ws('-', 'PROMO', ordinal, year) as promo_id",
+                "sku_id",
                 "start_date",
-                F.date_add("start_date", 13 - ordinal % 3).alias("end_date"),
-                F.get(names, ordinal % 4).alias("promo_type"),
-                (F.lit(10.0) + ordinal % 3 * 5).alias("discount_pct"),
-                F.get(plans, ordinal % 4).alias("planned_uplift_pct"),
+                "date_add(start_date, 13 - ordinal % 3) as end_date",
+                f"get({PROMO_TYPES}, ordinal % 4) as promo_type",
+                "10D + ordinal % 3 * 5 as discount_pct",
+                f"get({PROMO_PLANS}, ordinal % 4) as planned_uplift_pct",
             )
         )
 
     def prices(self) -> DataFrame:
-        return (
-            self.source("part")
-            .groupBy("p_type", _band("p_size").alias("band"))
-            .agg(F.min("p_retailprice").alias("first"), F.max("p_retailprice").alias("second"))
-            .select(
-                _sku(F.col("p_type"), F.col("band")).alias("sku_id"),
-                F.explode(
-                    F.array(
-                        F.struct(F.lit("1995-01-01").cast("date").alias("d"), F.col("first").alias("p")),
-                        F.struct(F.lit("1998-01-01").cast("date").alias("d"), F.col("second").alias("p")),
-                    )
-                ).alias("step"),
-            )
-            .select(
-                "sku_id",
-                F.col("step.d").alias("effective_date"),
-                F.col("step.p").alias("list_price"),
-                F.lit("AUD").alias("currency"),
-            )
+        steps = "stack(2, date'1995-01-01', low, date'1998-01-01', high) as (effective_date, list_price)"
+        return self._parts_by_band("min(p_retailprice) as low", "max(p_retailprice) as high").selectExpr(
+            "sku_id", steps, "'AUD' as currency"
         )
 
     def _days_by_region(self) -> DataFrame:
         """Every day of the shipping history for every region."""
-        span = (
+        days = (
             self.source("lineitem")
-            .agg(
-                F.struct(
-                    F.to_date(F.min("l_shipdate")).alias("first"), F.to_date(F.max("l_shipdate")).alias("last")
-                ).alias("s")
-            )
+            .selectExpr("sequence(to_date(min(l_shipdate)), to_date(max(l_shipdate))) as days")
             .scalar()
         )
-        days = F.sequence(span.getField("first"), span.getField("last"))
         return self.source("region").select("r_regionkey", "r_name", F.explode(days).alias("date"))
 
     def weather(self) -> DataFrame:
-        day, key = F.dayofyear("date"), F.col("r_regionkey")
-        rain = ((day * 7 + key * 13) % 30) / 2
-        gap = (key == 2) & F.col("date").between("1996-03-04", "1996-03-10")
-        return self._days_by_region().select(
-            "date",
-            F.col("r_name").alias("region"),
-            (F.lit(15.0) + 10 * F.cos(2 * math.pi * (day - 20) / 365) + key).alias("avg_temp_c"),
-            F.when(~gap, rain).alias("precipitation_mm"),
-            (rain >= 14).alias("severe_weather_flag"),
+        gap = "r_regionkey = 2 and date between '1996-03-04' and '1996-03-10'"
+        return (
+            self._days_by_region()
+            .selectExpr("*", "dayofyear(date) as day")
+            .selectExpr("*", "((day * 7 + r_regionkey * 13) % 30) / 2D as rain")
+            .selectExpr(
+                "date",
+                "r_name as region",
+                f"15D + 10 * cos({2 * math.pi}D * (day - 20) / 365) + r_regionkey as avg_temp_c",
+                f"if({gap}, null, rain) as precipitation_mm",
+                "rain >= 14 as severe_weather_flag",
+            )
         )
 
     def holidays(self) -> DataFrame:
-        names = F.array(
-            *[
-                F.struct(F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(n).alias("name"), F.lit(i).alias("impact"))
-                for m, d, n, i in HOLIDAYS
-            ]
-        )
         return (
             self._days_by_region()
-            .withColumn("h", F.explode(names))
-            .where((F.month("date") == F.col("h.m")) & (F.dayofmonth("date") == F.col("h.d")))
-            .where((F.col("h.m") != 4) | (F.col("r_regionkey") % 2 == 0))
-            .select(
-                "date",
-                F.col("h.name").alias("holiday_name"),
-                F.col("r_name").alias("region"),
-                F.col("h.impact").alias("impact_level"),
-            )
+            .selectExpr("*", HOLIDAYS)
+            .where("month(date) = m and dayofmonth(date) = d and (m <> 4 or r_regionkey % 2 = 0)")
+            .selectExpr("date", "name as holiday_name", "r_name as region", "impact as impact_level")
         )
 
     def tables(self, *names: str) -> dict[str, DataFrame]:
         """The named raw tables, all 17 without names."""
-        from stockloom.sources.schemas import RAW_SCHEMAS
-
         return {n: getattr(self, n)() for n in (names or RAW_SCHEMAS)}
