@@ -18,8 +18,15 @@ def exact_quantile(df: DataFrame, column: str, p: float, accuracy: int = 100_000
     """
     margin = 4.0 / accuracy
     v = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    low = F.min("v") if p - margin <= 0 else F.percentile_approx("v", p - margin, accuracy)
-    high = F.max("v") if p + margin >= 1 else F.percentile_approx("v", p + margin, accuracy)
+    # With fewer rows than sketch steps the bracket is everything; above that, four steps each way cover the error of
+    # the sketch (one step) and the different rank conventions (two rows).
+    few = F.count("*") < accuracy
+    low = F.min("v") if p - margin <= 0 else F.when(few, F.min("v")).otherwise(
+        F.percentile_approx("v", p - margin, accuracy)
+    )
+    high = F.max("v") if p + margin >= 1 else F.when(few, F.max("v")).otherwise(
+        F.percentile_approx("v", p + margin, accuracy)
+    )
     bracket = v.agg(F.struct(low.alias("lo"), high.alias("hi"), F.count("*").alias("n")).alias("b")).scalar()
 
     counted = (
@@ -36,6 +43,6 @@ def exact_quantile(df: DataFrame, column: str, p: float, accuracy: int = 100_000
         F.min(F.when(F.col("upto") > F.col("k") + 1, F.col("v"))).alias("right"),
         F.max(F.col("rank") - F.col("k")).alias("part"),
     )
-    return ends.select(
-        (F.col("left") + F.col("part") * (F.coalesce("right", "left") - F.col("left"))).alias("value")
-    )
+    between = F.col("left") + F.col("part") * (F.coalesce("right", "left") - F.col("left"))
+    missed = F.raise_error(F.lit("the sketch bracket missed the quantile; raise the accuracy"))
+    return ends.select(F.when(F.col("left") == -math.inf, missed.cast("double")).otherwise(between).alias("value"))
