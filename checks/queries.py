@@ -616,6 +616,7 @@ def supplier_delivery_status(s):
 
 @query
 def monitoring_summary(s):
+    s.store("daily_sales")
     performance = monitoring.weekly_forecast_performance(s.baseline)
     features = anomalies.stock_features(s.raw("inventory_snapshots"))
     score = F.abs("dos_change") + F.abs("on_hand_units") / 100
@@ -624,6 +625,7 @@ def monitoring_summary(s):
 
 
 def _kpis(s: Star) -> DataFrame:
+    s.store("daily_sales")
     return kpis.business_kpis(
         s.raw("daily_sales"),
         s.raw("stock_outs"),
@@ -662,6 +664,7 @@ def stockout_measures(s):
 
 @query
 def lost_sales_measures(s):
+    s.store("daily_sales")
     return measures.lost_sales_measures(s.fact_stockouts, s.dim_date, ["store_id"])
 
 
@@ -672,6 +675,7 @@ def stock_measures(s):
 
 @query
 def turnover_measures(s):
+    s.store("daily_sales")
     return measures.turnover_measures(s.fact_sales, s.fact_inventory, s.dim_product, s.dim_date, ["category"])
 
 
@@ -745,6 +749,7 @@ def selected_kpi(s):
 @query
 def status_colours(s):
     """Forecast status per store beside the quality status of the run."""
+    s.store("daily_sales")
     dq = measures.quality_measures(s.rules).select("dq_status").scalar()
     return (
         measures.forecast_measures(s.baseline, ["store_id"])
@@ -755,8 +760,9 @@ def status_colours(s):
 
 @query
 def latest_thirteen_weeks(s):
-    weekly = panel.weekly_sales(s.fact_sales, "date_key")
-    return panel.latest_weeks(weekly).groupBy("week").agg(F.sum("units_sold").alias("units_sold"))
+    s.store("daily_sales")
+    weekly = panel.weekly_sales(panel.latest_weeks(s.fact_sales, date="date_key"), "date_key")
+    return weekly.groupBy("week").agg(F.sum("units_sold").alias("units_sold"))
 
 
 @query
@@ -810,6 +816,7 @@ def cover_band_composition(s):
 
 @query
 def stockout_trend(s):
+    s.store("daily_sales")
     return dashboards.stockout_trend(s.fact_sales, s.fact_stockouts)
 
 
@@ -832,6 +839,7 @@ def on_time_by_supplier(s):
 
 @query
 def late_trend(s):
+    s.store("purchase_orders")
     return dashboards.late_trend(s.fact_orders)
 
 

@@ -137,10 +137,13 @@ class Star:
 
     @cached_property
     def demand_stats(self) -> DataFrame:
-        return inventory.demand_statistics(self.raw("daily_sales"))
+        """Read twice by the recommendations, and itself reads the sales twice."""
+        self.store("daily_sales")
+        return durable(inventory.demand_statistics(self.raw("daily_sales")), "demand-statistics")
 
     @cached_property
     def recommendations(self) -> DataFrame:
+        self.store("lead_times")
         return inventory.reorder_recommendations(self.demand_stats, self.raw("lead_times"), self.raw("skus"))
 
     @cached_property

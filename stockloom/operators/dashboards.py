@@ -10,7 +10,7 @@ from stockloom.functions.banding import DEFAULTS, Thresholds, days_of_supply_ban
 from stockloom.functions.columns import month_start, rounded, safe_divide, week_start
 from stockloom.operators import measures
 from stockloom.operators.inventory import latest_snapshot
-from stockloom.operators.panel import latest_weeks
+from stockloom.operators.panel import first_of_latest_weeks, latest_weeks
 
 
 def _share(df: DataFrame, value: str) -> DataFrame:
@@ -119,13 +119,14 @@ def anomaly_types(anomalies: DataFrame) -> DataFrame:
 
 def stockout_trend(sales: DataFrame, stockouts: DataFrame, weeks: int | None = 13) -> DataFrame:
     """Stock-out rate by week, the newest ``weeks`` weeks or all of them."""
-    by = ["week"]
-    trend = measures.stockout_measures(
+    if weeks is not None:
+        start = first_of_latest_weeks(sales, weeks, "date_key")
+        sales, stockouts = (df.where(F.col("date_key") >= start) for df in (sales, stockouts))
+    return measures.stockout_measures(
         sales.select(week_start("date_key").alias("week")),
         stockouts.select(week_start("date_key").alias("week"), "stockout_flag"),
-        by,
+        ["week"],
     ).withColumn("stockout_days", F.coalesce("stockout_days", F.lit(0)))
-    return trend if weeks is None else latest_weeks(trend, weeks)
 
 
 def at_risk_positions(inventory: DataFrame, recommendations: DataFrame, date: str = "date_key") -> DataFrame:
@@ -182,9 +183,9 @@ def on_time_by_supplier(performance: DataFrame) -> DataFrame:
 
 
 def late_trend(orders: DataFrame, weeks: int | None = 13) -> DataFrame:
-    weekly = measures.order_measures(orders.select("*", week_start("order_date").alias("week")), ["week"])
-    weekly = weekly.select("week", "purchase_orders", "late_purchase_orders", "late_delivery_rate")
-    return weekly if weeks is None else latest_weeks(weekly, weeks)
+    shown = orders if weeks is None else latest_weeks(orders, weeks, "order_date")
+    weekly = measures.order_measures(shown.select("*", week_start("order_date").alias("week")), ["week"])
+    return weekly.select("week", "purchase_orders", "late_purchase_orders", "late_delivery_rate")
 
 
 # --- promotions -------------------------------------------------------------------------------------------------

@@ -172,15 +172,14 @@ def run_scenarios(
 
 
 def latest_snapshot(snapshots: DataFrame, date: str = "date") -> DataFrame:
-    """Newest stock position per location and SKU, as an aggregate so no group is gathered and sorted."""
-    newest = F.max_by(
-        F.struct("on_hand_units", "on_order_units", "safety_stock_units", "days_of_supply"),
-        F.struct(F.col(date), F.col("on_hand_units"), F.col("on_order_units"), F.col("days_of_supply")),
-    )
-    return (
-        snapshots.groupBy("location_type", "location_id", "sku_id")
-        .agg(F.max(date).alias("snapshot_date"), newest.alias("p"))
-        .select("location_type", "location_id", "sku_id", "snapshot_date", "p.*")
+    """Newest stock position per location and SKU.
+
+    A plain hash aggregate with map-side combine: no group is gathered and sorted. All columns follow the same date, so
+    they come from the same row.
+    """
+    values = ["on_hand_units", "on_order_units", "safety_stock_units", "days_of_supply"]
+    return snapshots.groupBy("location_type", "location_id", "sku_id").agg(
+        F.max(date).alias("snapshot_date"), *[F.max_by(c, date).alias(c) for c in values]
     )
 
 

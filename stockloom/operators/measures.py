@@ -196,17 +196,27 @@ def promotion_measures(uplift: DataFrame, by: By = ()) -> DataFrame:
 def with_periods(monthly: DataFrame, values: By, month: str = "month", by: By = ()) -> DataFrame:
     """Each value of a monthly aggregate beside its prior month and the same month of last year.
 
-    The comparison rows are joined on shifted months, so a gap gives NULL instead of the next older month.
+    Every month is also handed to the months it is compared with, one and twelve later, and meets them in one grouping:
+    the aggregate is computed once, and a gap gives NULL instead of the next older month.
     """
-    out = monthly
-    for suffix, months in (("prior", 1), ("last_year", 12)):
-        shifted = monthly.select(
-            *by,
-            F.to_date(F.add_months(month, months)).alias(month),
-            *[F.col(v).alias(f"{v}_{suffix}") for v in values],
+    roles = {"": 0, "_prior": 1, "_last_year": 12}
+    hops = F.array(*[F.struct(F.lit(n).alias("hop"), F.add_months(month, n).alias("at")) for n in roles.values()])
+    rest = [c for c in monthly.columns if c not in (*by, month, *values)]
+    met = monthly.select(*by, *values, *rest, F.inline(hops)).groupBy(*by, F.col("at").alias(month))
+    own = F.col("hop") == 0
+    return (
+        met.agg(
+            F.bool_or(own).alias("_exists"),
+            *[F.max(F.when(own, F.col(c))).alias(c) for c in rest],
+            *[
+                F.max(F.when(F.col("hop") == n, F.col(v))).alias(f"{v}{suffix}")
+                for suffix, n in roles.items()
+                for v in values
+            ],
         )
-        out = out.join(shifted, [*by, month], "left")
-    return out
+        .where("_exists")
+        .drop("_exists")
+    )
 
 
 def month_over_month(monthly: DataFrame, value: str, month: str = "month", by: By = ()) -> DataFrame:

@@ -15,6 +15,7 @@ from stockloom.functions.banding import (
     wmape_status,
 )
 from stockloom.functions.columns import rounded, safe_divide
+from stockloom.functions.quantiles import quantiles_from_counts, range_parts
 from stockloom.sources.durable import durable
 
 DRIFT_FEATURES = ["units_sold", "unit_price", "avg_temp_c"]
@@ -53,17 +54,20 @@ def value_counts(rows: DataFrame, features: list[str], reference: Column, curren
 
 
 def psi_from_counts(counts: DataFrame, buckets: int = 10) -> DataFrame:
-    """Population stability index per feature from value counts.
+    """Population stability index per feature from value counts that went through ``range_parts``.
 
     The bucket edges are the distinct quantiles of the reference values; only values between the outer edges count, the
     last bucket is closed, and empty shares are raised to 1e-4. Fewer than 10 values on a side give NULL, fewer than 3
     edges give 0. Values were counted before, so a frequent value costs as much as a rare one.
     """
-    probabilities = F.array(*[F.lit(i / buckets) for i in range(buckets + 1)])
-    edges = counts.groupBy("feature").agg(
-        F.sum("ref").alias("ref_rows"),
-        F.sum("cur").alias("cur_rows"),
-        F.array_sort(F.array_distinct(F.percentile("v", probabilities, F.col("ref")))).alias("edges"),
+    quantiles = quantiles_from_counts(counts, "feature", "v", "ref", [i / buckets for i in range(buckets + 1)])
+    current = counts.groupBy("feature").agg(F.sum("cur").alias("cur_rows"))
+    # A feature without reference rows has no quantiles; its edges are NULL and its index too.
+    edges = quantiles.join(current, "feature").select(
+        "feature",
+        F.col("rows").alias("ref_rows"),
+        "cur_rows",
+        F.array_sort(F.array_distinct("quantiles")).alias("edges"),
     )
     e, v = F.col("edges"), F.col("v")
     inside = (v >= F.get(e, F.lit(0))) & (v <= F.element_at(e, -1))
@@ -103,7 +107,7 @@ def psi(reference: DataFrame, current: DataFrame, column: str, buckets: int = 10
         current.select(column, F.lit(False).alias("is_ref"))
     )
     counts = value_counts(both, [column], F.col("is_ref"), ~F.col("is_ref"))
-    return psi_from_counts(counts, buckets)
+    return psi_from_counts(durable(range_parts(counts, "feature", "v"), "value-counts"), buckets)
 
 
 def demand_drift(
@@ -131,7 +135,7 @@ def demand_drift(
     reference = F.col("week") <= bounds.getField("ref_end")
     current = F.col("week") >= bounds.getField("cur_start")
     # The counts feed the edges and the buckets; written once, the panel behind them is read once.
-    counts = durable(value_counts(panel, features, reference, current), "drift-counts")
+    counts = durable(range_parts(value_counts(panel, features, reference, current), "feature", "v"), "drift-counts")
     index = psi_from_counts(counts)
     return index.select(
         "feature", rounded("psi", 4).alias("psi"), drift_status("psi", thresholds).alias("status")

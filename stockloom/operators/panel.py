@@ -131,7 +131,14 @@ def split_train_test(panel: DataFrame, test_weeks: int = 8) -> tuple[DataFrame,
     return train, panel.where(F.col("week") >= cutoff)
 
 
-def latest_weeks(df: DataFrame, weeks: int = 13, week: str = "week") -> DataFrame:
-    """Rows of the newest ``weeks`` calendar weeks, the default period of the reports."""
-    start = df.agg(F.date_sub(F.max(week), 7 * (weeks - 1)).alias("d")).scalar()
-    return df.where(F.col(week) >= start)
+def first_of_latest_weeks(df: DataFrame, weeks: int = 13, date: str = "week") -> Column:
+    """Monday that opens the newest ``weeks`` calendar weeks of a date column, as a scalar subquery."""
+    return df.agg(F.date_sub(week_start(F.max(date)), 7 * (weeks - 1)).alias("d")).scalar()
+
+
+def latest_weeks(df: DataFrame, weeks: int = 13, date: str = "week") -> DataFrame:
+    """Rows of the newest ``weeks`` calendar weeks, the default period of the reports.
+
+    Apply it to a fact before aggregating: the date filter then reaches the scan.
+    """
+    return df.where(F.col(date) >= first_of_latest_weeks(df, weeks, date))

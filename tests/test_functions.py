@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from helpers import one, rows
 from stockloom.functions import accuracy, banding, columns, stocking
-from stockloom.functions.quantiles import exact_quantile
+from stockloom.functions.quantiles import exact_quantile, quantiles_from_counts, range_parts
+from stockloom.sources.durable import durable
 
 
 def value(spark, column):
@@ -160,3 +161,18 @@ def test_exact_quantile_of_nothing_is_null(spark):
 def test_exact_quantile_of_one_row(spark):
     df = spark.createDataFrame([(7.0,)], "v double")
     assert one(exact_quantile(df, "v", 0.98))["value"] == 7.0
+
+
+def test_quantiles_from_counts_over_many_parts(spark):
+    rng = np.random.default_rng(8)
+    data = {"a": rng.normal(size=4000).round(2), "b": np.concatenate([np.zeros(700), rng.exponential(size=1300)])}
+    rows_ = [(g, float(v)) for g, values in data.items() for v in values]
+    counts = spark.createDataFrame(rows_, "g string, v double").groupBy("g", "v").agg(F.count("*").alias("n"))
+    spread = durable(counts.repartitionByRange(6, "g", "v").withColumn("part", F.spark_partition_id()), "parts")
+    assert spread.select("part").distinct().count() > 3
+    ps = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    for df in (spread, durable(range_parts(counts, "g", "v"), "parts")):
+        got = {r["g"]: r for r in rows(quantiles_from_counts(df, "g", "v", "n", ps))}
+        for g, values in data.items():
+            assert got[g]["rows"] == len(values)
+            np.testing.assert_allclose(got[g]["quantiles"], np.quantile(values, ps), atol=1e-12)
