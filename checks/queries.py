@@ -265,6 +265,7 @@ def weekly_demand_panel(s):
 @query
 def full_weeks_panel(s):
     """Panel without the partial first and last week."""
+    s.store("daily_sales")
     full = panel.weekly_demand_panel(
         s.raw("daily_sales"), s.raw("skus"), s.raw("stores"), s.raw("holidays"), s.raw("weather"),
         drop_partial_weeks=True,
@@ -464,6 +465,12 @@ def uplift_review_queue(s):
 # --- anomalies --------------------------------------------------------------------------------------------------
 
 
+def _stated_anomalies(s: Star) -> DataFrame:
+    features = anomalies.stock_features(s.raw("inventory_snapshots"))
+    score = F.abs("dos_change") + F.abs("on_hand_units") / 100
+    return anomalies.classify_anomalies(durable(features.withColumn("anomaly_score", score), "step-scores"))
+
+
 @query
 def stock_features(s):
     return anomalies.stock_features(s.raw("inventory_snapshots"))
@@ -472,9 +479,7 @@ def stock_features(s):
 @query
 def anomalies_by_step(s):
     """Threshold and classes on a score plain SQL can state: the step in days of supply plus the stock level."""
-    features = anomalies.stock_features(s.raw("inventory_snapshots"))
-    score = F.abs("dos_change") + F.abs("on_hand_units") / 100
-    return anomalies.classify_anomalies(features.withColumn("anomaly_score", score))
+    return _stated_anomalies(s)
 
 
 @query
@@ -484,9 +489,7 @@ def isolation_forest_anomalies(s):
 
 @query
 def anomaly_types(s):
-    features = anomalies.stock_features(s.raw("inventory_snapshots"))
-    score = F.abs("dos_change") + F.abs("on_hand_units") / 100
-    return dashboards.anomaly_types(anomalies.classify_anomalies(features.withColumn("anomaly_score", score)))
+    return dashboards.anomaly_types(_stated_anomalies(s))
 
 
 # --- delivery risk ----------------------------------------------------------------------------------------------
@@ -617,11 +620,9 @@ def supplier_delivery_status(s):
 @query
 def monitoring_summary(s):
     s.store("daily_sales")
-    performance = monitoring.weekly_forecast_performance(s.baseline)
-    features = anomalies.stock_features(s.raw("inventory_snapshots"))
-    score = F.abs("dos_change") + F.abs("on_hand_units") / 100
-    flagged = anomalies.classify_anomalies(features.withColumn("anomaly_score", score))
-    return monitoring.monitoring_summary(performance, monitoring.demand_drift(s.saved_panel), s.rules, 0.6, flagged)
+    performance = durable(monitoring.weekly_forecast_performance(s.baseline), "performance")
+    drift = durable(monitoring.demand_drift(s.saved_panel), "drift")
+    return monitoring.monitoring_summary(performance, drift, s.rules, 0.6, _stated_anomalies(s))
 
 
 def _kpis(s: Star) -> DataFrame:

@@ -14,8 +14,8 @@ from stockloom.operators.panel import first_of_latest_weeks, latest_weeks
 
 
 def _share(df: DataFrame, value: str) -> DataFrame:
-    """Share of a small grouped table in its own total, taken as a scalar so no global window is needed."""
-    return df.withColumn("share", safe_divide(value, df.agg(F.sum(value).alias("t")).scalar()))
+    """Share in the total of a grouped table of a few rows (one per category); the window orders nothing larger."""
+    return df.withColumn("share", safe_divide(value, F.sum(value).over(Window.partitionBy())))
 
 
 # --- overview ---------------------------------------------------------------------------------------------------
