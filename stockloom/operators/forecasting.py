@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from stockloom.functions import accuracy
 from stockloom.functions.columns import rounded, safe_divide
 from stockloom.operators.panel import SERIES
+from stockloom.shipping import ship_with_tasks
 from stockloom.sources.durable import durable, ensure_checkpoint_dir
 
+ship_with_tasks(__name__)
+
 # Model inputs, in order.
 FEATURES = [
     "lag_1",

@@ -11,6 +11,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockloom.shipping import ship_with_tasks
+
+ship_with_tasks(__name__)
+
 NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, size int"
 OVERSAMPLE = 4
 EULER = 0.5772156649015329

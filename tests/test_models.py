@@ -135,3 +135,21 @@ def test_delivery_risk_model(spark, tmp_path):
 def test_single_class_has_no_auc(spark):
     df = spark.createDataFrame([(1, 0.5, True), (1, 0.6, True)], "is_late int, late_risk_score double, in_holdout boolean")
     assert delivery_risk.holdout_auc(df) is None
+
+
+def test_task_code_travels_without_the_package():
+    """Executors must not need this package: functions of the task modules are sent by value."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from stockloom.operators import forecasting
+
+    payload = cloudpickle.dumps(forecasting._smooth).hex()
+    code = (
+        "import pickle, numpy as np; f = pickle.loads(bytes.fromhex('" + payload + "')); "
+        "print(f(np.arange(20.0), np.array([[0.5, 0.1, 0.9]]))[2])"
+    )
+    out = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, timeout=60)
+    assert out.stdout.strip() == "0.9", out.stderr
