@@ -80,7 +80,7 @@ STEPS["lines"] = f"""
 STEPS["r_daily_sales"] = """
     select date, store_id, sku_id, units_sold, case when tax > 0 then revenue end as revenue, promo_flag
     from (select date, store_id, sku_id, (sum(l_quantity) * 4)::bigint as units_sold,
-                 sum(l_extendedprice * (1 - l_discount)) as revenue, bool_or(l_discount >= 0.08) as promo_flag,
+                 sum(floor(l_extendedprice * 100 + 0.5)::bigint * floor((1 - l_discount) * 100 + 0.5)::bigint)::double / 10000 as revenue, bool_or(l_discount >= 0.08) as promo_flag,
                  max(l_tax) as tax, max(l_linenumber) as last_line
           from lines group by 1, 2, 3) c
     join (values (1), (2)) as copies(k) on k = 1 or last_line = 7"""
@@ -588,7 +588,7 @@ final("enriched_sales", f"""
            sum(units_sold)::bigint as units_sold, count(cents) as rows_with_revenue,
            round(sum(cents)::double, 0) as revenue,
            round(avg(cents::double / nullif(units_sold, 0)), 2) as revenue_per_unit
-    from (select *, revenue::decimal(18,2) as cents from r_daily_sales where units_sold >= 0) s
+    from (select *, round(revenue::decimal(38,8), 2) as cents from r_daily_sales where units_sold >= 0) s
     join r_skus k using (sku_id) join r_stores t using (store_id) group by 1, 2, 3, 4, 5""")
 final("category_stock_mart", """
     select category, count(*) as snapshot_rows, avg(days_of_supply) as avg_days_of_supply,
@@ -665,7 +665,7 @@ final("reorder_recommendations_by_category", recommendations(
 final("scenario_summary", f"""
     select scenario, demand_shock_pct, lead_time_shock_pct, {r("avg(safety_stock_units)", 1)} as avg_safety_stock_units,
            {r("avg(reorder_point_units)", 1)} as avg_reorder_point_units,
-           {r("sum(safety_stock_units)", 0)} as total_safety_stock_units
+           round(sum(safety_stock_units::decimal(28,1)), 0)::double as total_safety_stock_units
     from ({shocked("demand_shock_pct", "lead_time_shock_pct", "cased")}) x group by 1, 2, 3""")
 final("scenario_shock", f"select * exclude (m, s, t, u, ss) from ({shocked('0.25::double', '0.3::double', 'recs')}) x", RECS)
 final("replenishment_requests", "select * from requests where request_qty > 0", REQUEST)

@@ -164,7 +164,10 @@ def run_scenarios(
         .agg(
             rounded(F.avg("safety_stock_units"), 1).alias("avg_safety_stock_units"),
             rounded(F.avg("reorder_point_units"), 1).alias("avg_reorder_point_units"),
-            rounded(F.sum("safety_stock_units"), 0).alias("total_safety_stock_units"),
+            # published on one decimal, so the total is added up as decimals and is exact in any order
+            F.round(F.sum(F.col("safety_stock_units").cast("decimal(28,1)")), 0).cast("double").alias(
+                "total_safety_stock_units"
+            ),
         )
         .orderBy("position")
         .drop("position")

@@ -154,7 +154,8 @@ class RetailTables:
         return self._per_cell(
             "true",
             f"cast(sum(l_quantity) * {UNITS_PER_CASE} as bigint) as units_sold",
-            "sum(l_extendedprice * (1 - l_discount)) as revenue",
+            # whole cents times whole per cents: an exact sum in any order
+            "sum(floor(l_extendedprice * 100 + 0.5D) * floor((1 - l_discount) * 100 + 0.5D)) / 10000 as revenue",
             "max(l_discount >= 0.08) as promo_flag",
             "max(l_tax) as tax",
             "max(l_linenumber) as last_line",
