@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from stockloom.llm.op1_html import op1_html_extraction
 from stockloom.llm.op4_packing import op4_packing
+from stockloom.llm.op5_quality import op5_quality
 from stockloom.llm.op9_bpe import op9_bpe_encode_decode
+from stockloom.llm.op10_language import op10_language_id
 
-QUERIES = {f.__name__: f for f in (op4_packing, op9_bpe_encode_decode)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op4_packing, op5_quality, op9_bpe_encode_decode, op10_language_id)}
 
 ORACLE: dict[str, str] = {}
