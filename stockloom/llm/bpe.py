@@ -8,17 +8,22 @@ than ``SHORT`` parts take the same merges in the same order from a heap, because
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from stockloom.shipping import ship_with_tasks
 
 SHORT = 48
 NEVER = np.int32(2**31 - 1)
-CACHED = 400_000  # encodings a task keeps; what comes later is encoded anew for each slice of its texts
+CACHED = 1_000_000  # encodings a Python worker keeps of each kind; what comes later is encoded anew for each slice of texts
 
 
 def byte_letters() -> dict[str, int]:
@@ -152,80 +157,152 @@ class Merges:
 BLANK = "\t-\r \x85\xa0  -     　"
 
 
-class TextEncoder:
-    """Cuts texts into chunks at single spaces, encodes chunks not seen before in one batch, and joins their ids.
+def spread(values: list[bytes], codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values of ``codes`` one after the other, as little-endian numbers of ``width`` bytes, and where each begins."""
+    kind = np.dtype(f"<u{width}")
+    size = np.fromiter(map(len, values), np.int64, len(values)) // width
+    return gathered(np.frombuffer(b"".join(values), kind), size, codes)
 
-    Every word begins with the space before it, so a chunk (a space and what follows up to the next one) is encoded alike
-    wherever it stands. Texts in which white space meets a space are cut into words by the full rule.
+
+def gathered(base: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``spread``, for values that lie end to end in ``base``; at most a million codes are worked on at a time."""
+    start = np.cumsum(size) - size
+    ends = np.concatenate([[0], np.cumsum(size[codes])])
+    out = np.empty(ends[-1], base.dtype)
+    for at in range(0, len(codes), 1_000_000):
+        part = codes[at : at + 1_000_000]
+        first, n = ends[at], size[part]
+        length = int(n.sum())
+        out[first : first + length] = base[np.repeat(start[part] - (np.cumsum(n) - n), n) + np.arange(length)]
+    return out, ends
+
+
+def slices(texts: pa.Array, most: int = 16_000_000) -> Iterator[pa.Array]:
+    """Runs of texts of about ``most`` bytes in all, nulls as empty texts; a longer text is a run of its own."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield texts.slice(start, end - start)
+        start = end
+
+
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """No search for cycles meanwhile: it would walk all remembered encodings again and again."""
+    enabled = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if enabled:
+            gc.enable()
+
+
+class WordEncoder:
+    """Ids of words and of chunks (words that stand together), remembered from batch to batch and task to task.
+
+    An encoder is broadcast; a reused Python worker keeps its broadcast values, and with them what has been learned.
+    """
+
+    def __init__(self, source: str) -> None:
+        self.merges = Merges(source)
+        self.known: dict[str, bytes] = {}  # by word
+
+    def words_of(self, chunk: str) -> list[str]:
+        raise NotImplementedError
+
+    def learn(self, chunks: Iterable[str]) -> dict[str, bytes]:
+        """Ids of chunks."""
+        known, fresh = self.known, {}
+        whole, mixed, words = [], [], set()
+        for c in chunks:
+            found = self.words_of(c)
+            if len(found) == 1:
+                word = found[0]
+                ids = known.get(word)
+                if ids is None:
+                    words.add(word)
+                    whole.append((c, word))
+                else:
+                    fresh[c] = ids
+            else:
+                words.update(found)
+                mixed.append((c, found))
+        unseen = list(words - known.keys())
+        new = dict(zip(unseen, self.merges.encode([w.encode() for w in unseen]), strict=True))
+        for c, word in whole:
+            fresh[c] = new[word]
+        for c, found in mixed:
+            fresh[c] = b"".join([new[w] if w in new else known[w] for w in found])
+        if len(known) < CACHED:
+            known.update(new)
+        return fresh
+
+    def ids_of(self, chunks: list[str], kept: dict[str, bytes], lead: str = "") -> list[bytes]:
+        """Ids of each chunk with ``lead`` before it, looked up in ``kept`` or learned."""
+        with uncollected():
+            ids = list(map(kept.get, chunks))
+            if None in ids:
+                places = [i for i, x in enumerate(ids) if x is None]
+                fresh = self.learn({lead + chunks[i] for i in places})
+                for i in places:
+                    ids[i] = fresh[lead + chunks[i]]
+                if len(kept) < CACHED:
+                    kept.update([(chunks[i], ids[i]) for i in places if len(chunks[i]) < 100])
+            return ids
+
+
+class TextEncoder(WordEncoder):
+    """Byte-level tokenizers: a word begins with the space before it.
+
+    A chunk is a space and what follows up to the next one; it is encoded alike wherever it stands. Texts in which white
+    space meets a space, or that hold a special token, are cut into words by the full rule.
     """
 
-    def __init__(self, merges: Merges) -> None:
+    def __init__(self, source: str) -> None:
         import regex
 
-        self.merges = merges
-        self.words = regex.compile(
+        super().__init__(source)
+        self.rule = regex.compile(
             rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{BLANK}\p{{L}}\p{{N}}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
         )
-        self.meeting = re.compile(rf" [{BLANK}]| $|^ ")
-        self.special = re.compile("(" + "|".join(map(re.escape, sorted(merges.special, key=len, reverse=True))) + ")") if merges.special else None
+        special = "|".join(map(re.escape, sorted(self.merges.special, key=len, reverse=True)))
+        self.special = re.compile(f"({special})") if special else None
+        self.by_rule = rf" [{BLANK}]| $|^ " + (f"|{special}" if special else "")
         self.spaced: dict[str, bytes] = {}  # by chunk without its space
-        self.plain: dict[str, bytes] = {}  # by chunk that has none, or by word
-        self.known: dict[str, bytes] = {}  # by word
+        self.plain: dict[str, bytes] = {}  # by chunk that has none
 
-    def _parts(self, text: str) -> list[tuple[dict[str, bytes], list[str]]]:
-        if self.meeting.search(text):
-            return [(self.plain, self.words.findall(text))]
-        chunks = text.split(" ")
-        return [(self.plain, chunks[:1]), (self.spaced, chunks[1:])]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        out: list[list[list[bytes]]] = []
-        gaps: list[tuple[list[bytes], int, dict[str, bytes], str]] = []
-        for text in texts:
-            done: list[list[bytes]] = []
-            pieces = self.special.split(text) if self.special and any(x in text for x in self.merges.special) else [text]
-            for piece in filter(None, pieces):
-                if piece in self.merges.special:
-                    done.append([self.merges.special[piece].to_bytes(4, "little")])
-                    continue
-                for kept, chunks in self._parts(piece):
-                    ids = list(map(kept.get, chunks))
-                    if None in ids:
-                        gaps += [(ids, i, kept, chunks[i]) for i, x in enumerate(ids) if x is None]
-                    done.append(ids)
-            out.append(done)
-        fresh = {id(k): self._learn({c for _, _, where, c in gaps if where is k}, k, lead) for k, lead in ((self.plain, ""), (self.spaced, " "))}
-        for ids, i, kept, chunk in gaps:
-            ids[i] = fresh[id(kept)][chunk]
-        return [b"".join(map(b"".join, done)) for done in out]
-
-    def _learn(self, chunks: set[str], kept: dict[str, bytes], lead: str) -> dict[str, bytes]:
-        whole = [c for c in chunks if c.isalpha()]
-        mixed = [c for c in chunks if not c.isalpha()]
-        cut = [self.words.findall(lead + c) for c in mixed]
-        words = {lead + c for c in whole} | {w for found in cut for w in found}
-        known = {w: self.known[w] for w in words if w in self.known}
-        unseen = [w for w in words if w not in known]
-        new = dict(zip(unseen, self.merges.encode([w.encode() for w in unseen]), strict=True))
-        known |= new
-        fresh = {c: known[lead + c] for c in whole} | {c: b"".join([known[w] for w in found]) for c, found in zip(mixed, cut, strict=True)}
-        for old, more in ((self.known, new), (kept, fresh)):
-            if len(old) < CACHED:
-                old.update(more)
-        return fresh
+    def words_of(self, chunk: str) -> list[str]:
+        return [chunk] if chunk.isalpha() or chunk[:1] == " " and chunk[1:].isalpha() else self.rule.findall(chunk)
 
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text begins."""
+        odd = np.flatnonzero(pc.match_substring_regex(texts, self.by_rule).to_numpy(zero_copy_only=False))
+        whole = texts if not len(odd) else pc.if_else(pc.match_substring_regex(texts, self.by_rule), "", texts)
+        pieces = pc.split_pattern(whole, " ")
+        offsets = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
+        coded = pieces.flatten().dictionary_encode()
+        values = coded.dictionary.to_pylist()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        firsts = [values[i] for i in codes[offsets[:-1]]]
+        codes[offsets[:-1]] = len(values) + np.arange(len(firsts))
+        ids = self.ids_of(values, self.spaced, " ") + self.ids_of(firsts, self.plain)
+        for i in odd.tolist():
+            ids[len(values) + i] = self._by_rule(texts[i].as_py())
+        flat, ends = spread(ids, codes, 4)
+        return flat, ends[offsets]
 
-def slices(texts: list[str], most: int = 2_000_000):
-    """Runs of texts of about ``most`` characters in all; a longer text is a run of its own."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
-            yield texts[start:i]
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield texts[start:]
+    def _by_rule(self, text: str) -> bytes:
+        out = []
+        for piece in self.special.split(text) if self.special else [text]:
+            if piece in self.merges.special:
+                out.append(self.merges.special[piece].to_bytes(4, "little"))
+            else:
+                out += self.ids_of(self.rule.findall(piece), self.plain)
+        return b"".join(out)
 
 
 ship_with_tasks(__name__)

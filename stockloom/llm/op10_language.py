@@ -16,18 +16,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from stockloom.llm.bpe import slices
+from stockloom.llm.bpe import slices, uncollected
 from stockloom.llm.common import table
 from stockloom.shipping import ship_with_tasks
 
 MAX_DOCS, MAX_WORDS, MAX_GRAMS, GRAM = 20_000, 30_000, 20_000, 4
 UNKNOWN = "und"
-CACHED = 300_000
+CACHED = 600_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -71,21 +72,28 @@ class Identifier:
         self.rows: dict[str, int] = {}
         self.sums = np.zeros((1024, len(model.languages) + 1))
 
-    def identify(self, texts: list[str]) -> Iterator[tuple[str, float]]:
-        cut = [t.split() for t in texts]
-        found = [list(map(self.rows.get, chunks)) for chunks in cut]
-        new = list({c for chunks, rows in zip(cut, found, strict=True) if None in rows for c, r in zip(chunks, rows, strict=True) if r is None})
-        at = {c: i for i, c in enumerate(new, len(self.rows))}
-        known, need = len(self.rows), len(self.rows) + len(new)
-        if need > len(self.sums):
-            self.sums = np.concatenate([self.sums[:known], np.zeros((max(need, 2 * known) - known, self.sums.shape[1]))])
-        self.sums[known:need] = self._sums(new)
-        if need <= CACHED:
-            self.rows.update(at)
-        for chunks, rows in zip(cut, found, strict=True):
-            if None in rows:
-                rows = [at[c] if r is None else r for c, r in zip(chunks, rows, strict=True)]
-            *total, n = self.sums[rows].sum(axis=0).tolist() if rows else [0.0] * self.sums.shape[1]
+    def identify(self, texts: pa.Array) -> Iterator[tuple[str, float]]:
+        pieces = pc.utf8_split_whitespace(texts)
+        offsets = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
+        coded = pieces.flatten().dictionary_encode()
+        with uncollected():
+            chunks = coded.dictionary.to_pylist()
+            rows = list(map(self.rows.get, chunks))
+            places = [i for i, r in enumerate(rows) if r is None]
+            known, need = len(self.rows), len(self.rows) + len(places)
+            if need > len(self.sums):
+                self.sums = np.concatenate([self.sums[:known], np.zeros((max(need, 2 * known) - known, self.sums.shape[1]))])
+            self.sums[known:need] = self._sums([chunks[i] for i in places])
+            for r, i in enumerate(places, known):
+                rows[i] = r
+            if need <= CACHED:
+                self.rows.update([(chunks[i], rows[i]) for i in places])
+        each = self.sums[np.array([*rows, 0])[coded.indices.to_numpy()]]
+        totals = np.zeros((len(texts), self.sums.shape[1]))
+        filled = np.flatnonzero(np.diff(offsets))
+        if len(filled):
+            totals[filled] = np.add.reduceat(each, offsets[filled], axis=0)
+        for *total, n in totals.tolist():
             if not n or not total:
                 yield UNKNOWN, 0.0
                 continue
@@ -171,16 +179,12 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def language_udf(spark: SparkSession, model: Model):
     """UDF: text to struct(lang, score)."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(Identifier(model))
 
     @F.arrow_udf(T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())]))
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        identifier = Identifier(shared.value)
         for batch in batches:
-            found = []
-            for start in range(0, len(batch), 256):
-                for part in slices([t or "" for t in batch.slice(start, 256).to_pylist()]):
-                    found += identifier.identify(part)
+            found = [x for run in slices(batch) for x in shared.value.identify(run)]
             yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], ["lang", "score"])
 
     return predict

@@ -14,66 +14,56 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from stockloom.llm.bpe import BLANK, CACHED, Merges, slices
+from stockloom.llm.bpe import BLANK, WordEncoder, slices, spread
 from stockloom.llm.common import table
 from stockloom.shipping import ship_with_tasks
 
 MAX_TOKENS, MAX_SEGMENTS, END = 2048, 256, 1
-WINDOW_ITEMS, WINDOW_TOKENS = 4096, 4_000_000
+WINDOW_ITEMS, WINDOW_TOKENS = 1024, 4_000_000
 PLAIN_CHUNK = "[!-;=-~À-ÖØ-öø-ÿ]+"  # lower-cased and normalised character by character; "<" may open a special token
 
 
-class WordIds:
+class WordIds(WordEncoder):
     """Ids of texts whose tokenizer drops white space: chunks between white space are encoded alike wherever they stand."""
 
-    def __init__(self, merges: Merges, source: str) -> None:
+    def __init__(self, source: str) -> None:
         import regex
 
-        self.merges, self.source, self.library = merges, source, None
-        self.words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{BLANK}\p{{L}}\p{{N}}]+")
+        super().__init__(source)
+        self.source, self.library = source, None
+        self.rule = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{BLANK}\p{{L}}\p{{N}}]+")
         self.plain = re.compile(PLAIN_CHUNK)
-        self.blank = re.compile(f"[{BLANK}]+")
-        self.control = re.compile("[\x1c-\x1f]")  # white space to str.split only
         self.chunks: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out, gaps = [], []
-        for text in texts:
-            chunks = self.blank.split(text) if self.control.search(text) else text.split()
-            ids = list(map(self.chunks.get, chunks))
-            if None in ids:
-                gaps += [(ids, i, chunks[i]) for i, x in enumerate(ids) if x is None]
-            out.append(ids)
-        fresh = self._learn({c for _, _, c in gaps})
-        for ids, i, chunk in gaps:
-            ids[i] = fresh[chunk]
-        return [b"".join(ids) for ids in out]
-
-    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
+
+    def words_of(self, chunk: str) -> list[str]:
+        low = chunk.lower()
+        return [low] if low.isalpha() else self.rule.findall(low)
+
+    def learn(self, chunks: Iterable[str]) -> dict[str, bytes]:
+        chunks = list(chunks)
         plain = [c for c in chunks if self.plain.fullmatch(c)]
-        cut = [[low] if (low := c.lower()).isalpha() else self.words.findall(low) for c in plain]
-        words = {w for found in cut for w in found}
-        known = {w: self.known[w] for w in words if w in self.known}
-        unseen = [w for w in words if w not in known]
-        new = dict(zip(unseen, self.merges.encode([w.encode() for w in unseen]), strict=True))
-        known |= new
-        fresh = {c: b"".join([known[w] for w in found]) for c, found in zip(plain, cut, strict=True)}
-        for c in chunks - fresh.keys():
-            fresh[c] = self._by_library(c)
-        if len(self.known) < CACHED:
-            self.known.update(new)
-        if len(self.chunks) < CACHED:
-            self.chunks.update((c, x) for c, x in fresh.items() if len(c) < 100)
+        fresh = super().learn(plain)
+        if len(fresh) < len(chunks):
+            fresh |= {c: self._by_library(c) for c in chunks if c not in fresh}
         return fresh
 
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text begins."""
+        pieces = pc.ascii_split_whitespace(texts)
+        offsets = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
+        coded = pieces.flatten().dictionary_encode()
+        ids = self.ids_of(coded.dictionary.to_pylist(), self.chunks)
+        flat, ends = spread(ids, coded.indices.to_numpy().astype(np.int64), 4)
+        return flat, ends[offsets]
+
     def _by_library(self, chunk: str) -> bytes:
         if self.library is None:
             from tokenizers import Tokenizer
@@ -186,23 +176,20 @@ def pack_texts(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", tex
     their own; other columns are left out; an empty table gives no pieces.
     """
     spark = docs.sparkSession
-    source = Path(tokenizer_file).read_text()
-    model = spark.sparkContext.broadcast((Merges(source), source))
-    tail = int(end_id).to_bytes(4, "little")
+    model = spark.sparkContext.broadcast(WordIds(Path(tokenizer_file).read_text()))
     column = ("ids", pa.list_(pa.int32())) if output == "ids" else ("ids_crc32", pa.int64())
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordIds(*model.value)
+        encoder = model.value
         packer = Packer(max_tokens, max_segments, max_tokens, True, _number(0))
 
         def examples():
             for batch in batches:
-                for start in range(0, batch.num_rows, 256):
-                    part = batch.slice(start, 256)
-                    keys, texts = iter(part.column(0).to_pylist()), [t or "" for t in part.column(1).to_pylist()]
-                    for run in slices(texts):
-                        for ids in encoder.encode(run):
-                            yield next(keys), np.frombuffer(ids + tail, "<u4")
+                keys = iter(batch.column(0).to_pylist())
+                for run in slices(batch.column(1)):
+                    flat, ends = encoder.encode(run)
+                    for start, end in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                        yield next(keys), np.append(flat[start:end], np.uint32(end_id))
 
         yield from _batches(examples(), packer, column, pa.int64())
 

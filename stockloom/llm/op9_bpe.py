@@ -1,7 +1,7 @@
 """Encoding and decoding by byte-level BPE with a contiguous rank array (see ``bpe``).
 
 The model (a few MB, its size fixed by the vocabulary) is read once on the driver and broadcast. Each row is encoded in
-the task that reads it; nothing is shuffled, and a task holds one Arrow batch, cut into slices of about 2 MB of text.
+the task that reads it; nothing is shuffled, and a task holds one Arrow batch, worked on in slices of about 16 MB of text.
 """
 
 from __future__ import annotations
@@ -15,58 +15,68 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm.bpe import Merges, TextEncoder, slices
+from stockloom.llm.bpe import TextEncoder, gathered, slices
 from stockloom.llm.common import table
 from stockloom.shipping import ship_with_tasks
 
 
 def encode_udf(spark: SparkSession, tokenizer_file: str):
     """UDF: text to its ids; null for null."""
-    model = spark.sparkContext.broadcast(Merges(Path(tokenizer_file).read_text()))
+    model = spark.sparkContext.broadcast(TextEncoder(Path(tokenizer_file).read_text()))
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = TextEncoder(model.value)
         for batch in batches:
-            texts = batch.to_pylist()
-            found = [ids for part in slices([t or "" for t in texts]) for ids in encoder.encode(part)]
-            sizes = np.array([len(x) // 4 for x in found], np.int64)
-            values = pa.array(np.frombuffer(b"".join(found), "<i4"))
-            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), mask=np.array([*(t is None for t in texts), False]))
-            yield pa.ListArray.from_arrays(offsets, values)
+            runs = [model.value.encode(run) for run in slices(batch)]
+            sizes = np.concatenate([np.zeros(0, np.int64), *[np.diff(ends) for _, ends in runs]])
+            values = pa.array(np.concatenate([np.zeros(0, "<i4"), *[flat.view("<i4") for flat, _ in runs]]))
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            missing = np.append(batch.is_null().to_numpy(zero_copy_only=False), False)
+            yield pa.ListArray.from_arrays(pa.array(offsets, mask=missing), values)
 
     return encode
 
 
 def decode_udf(spark: SparkSession, tokenizer_file: str):
     """UDF: ids to their text, special tokens included; bytes that are no UTF-8 become U+FFFD; null for null."""
-    model = spark.sparkContext.broadcast(Merges(Path(tokenizer_file).read_text()))
+    model = spark.sparkContext.broadcast(Pieces(TextEncoder(Path(tokenizer_file).read_text())))
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = model.value.pieces
         for batch in batches:
-            yield pa.array([None if x is None else b"".join([pieces[i] for i in x]).decode("utf-8", "replace") for x in batch.to_pylist()], pa.string())
+            yield pa.array([None if x is None else model.value.text(np.array(x, np.int64)) for x in (batch[i].as_py() for i in range(len(batch)))], pa.string())
 
     return decode
 
 
+class Pieces:
+    """The bytes that ids stand for, end to end."""
+
+    def __init__(self, encoder: TextEncoder) -> None:
+        self.encoder = encoder
+        self.size = np.array([len(x) for x in encoder.merges.pieces])
+        self.bytes = np.frombuffer(b"".join(encoder.merges.pieces), np.uint8)
+
+    def text(self, ids: np.ndarray) -> str:
+        return gathered(self.bytes, self.size, ids)[0].tobytes().decode("utf-8", "replace")
+
+
 def digest_udf(spark: SparkSession, tokenizer_file: str):
     """UDF: text to the number of its ids, their digest, and the digest of the text decoded from them. Null is empty."""
-    model = spark.sparkContext.broadcast(Merges(Path(tokenizer_file).read_text()))
+    model = spark.sparkContext.broadcast(Pieces(TextEncoder(Path(tokenizer_file).read_text())))
 
     @F.arrow_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder, piece = TextEncoder(model.value), model.value.pieces.__getitem__
+        pieces = model.value
         for batch in batches:
             counts, ids_digest, text_digest = [], [], []
-            for start in range(0, len(batch), 256):
-                for part in slices([t or "" for t in batch.slice(start, 256).to_pylist()]):
-                    for ids in encoder.encode(part):
-                        counts.append(len(ids) // 4)
-                        ids_digest.append(hashlib.sha256(ids).hexdigest())
-                        text = b"".join(map(piece, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
-                        text_digest.append(hashlib.sha256(text.encode()).hexdigest())
+            for run in slices(batch):
+                flat, ends = pieces.encoder.encode(run)
+                counts += np.diff(ends).tolist()
+                for start, end in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                    ids = flat[start:end]
+                    ids_digest.append(hashlib.sha256(ids.tobytes()).hexdigest())
+                    text_digest.append(hashlib.sha256(pieces.text(ids).encode()).hexdigest())
             yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(ids_digest, pa.string()), pa.array(text_digest, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return digest
