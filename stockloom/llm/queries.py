@@ -6,9 +6,25 @@ from stockloom.llm.op1_html import op1_html_extraction
 from stockloom.llm.op2_fingerprint import op2_fingerprint
 from stockloom.llm.op4_packing import op4_packing
 from stockloom.llm.op5_quality import op5_quality
+from stockloom.llm.op6_lines import op6_line_dedup
+from stockloom.llm.op7_embeddings import op7_embedding_join
+from stockloom.llm.op8_jaccard import op8_jaccard_join
 from stockloom.llm.op9_bpe import op9_bpe_encode_decode
 from stockloom.llm.op10_language import op10_language_id
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_fingerprint, op4_packing, op5_quality, op9_bpe_encode_decode, op10_language_id)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_html_extraction,
+        op2_fingerprint,
+        op4_packing,
+        op5_quality,
+        op6_line_dedup,
+        op7_embedding_join,
+        op8_jaccard_join,
+        op9_bpe_encode_decode,
+        op10_language_id,
+    )
+}
 
 ORACLE: dict[str, str] = {}
