@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stockloom.llm import op4_packing, op5_quality, op6_lines, op8_jaccard, op10_language
 from stockloom.llm.common import stored, table
 
-QUALITY, LANGUAGE_SCORE = 0.5, 0.5
+QUALITY, LANGUAGE_SCORE = 0.5, 0.3
 BROADCAST_ROWS = 1_000_000
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from stockloom.llm import op3_urls
 from stockloom.llm.op1_html import op1_html_extraction
 from stockloom.llm.op2_fingerprint import op2_fingerprint
+from stockloom.llm.op3_urls import op3_url_filter
 from stockloom.llm.op4_packing import op4_packing
 from stockloom.llm.op5_quality import op5_quality
 from stockloom.llm.op6_lines import op6_line_dedup
@@ -17,6 +19,7 @@ QUERIES = {
     for f in (
         op1_html_extraction,
         op2_fingerprint,
+        op3_url_filter,
         op4_packing,
         op5_quality,
         op6_line_dedup,
@@ -27,4 +30,4 @@ QUERIES = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_url_filter": op3_urls.SQL}
