@@ -773,6 +773,21 @@ def regional_planner_view(s):
     )
 
 
+@query
+def category_manager_view(s):
+    return measures.restrict_fact(
+        s.fact_stockouts, s.dim_product, "sku_id", "Category Manager", ["ECONOMY", "PROMO"]
+    )
+
+
+@query
+def regional_planner_orders(s):
+    orders = measures.restrict_fact(
+        s.fact_orders, s.raw("warehouses"), "warehouse_id", "Regional Planner", ["ASIA", "EUROPE"]
+    )
+    return orders.groupBy("warehouse_id").agg(F.count("*").alias("orders"), F.sum("quantity_ordered").alias("units"))
+
+
 @query
 def inventory_by_region(s):
     located = measures.with_location(s.fact_inventory, s.dim_store, s.raw("warehouses"))

@@ -2,50 +2,22 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockloom.sources.durable import durable
+
 
-def exact_quantile(df: DataFrame, column: str, p: float, accuracy: int = 100_000) -> DataFrame:
+def exact_quantile(df: DataFrame, column: str, p: float) -> DataFrame:
     """One row, one column ``value``: the linearly interpolated ``p`` quantile, NULL for no data.
 
-    ``percentile`` keeps every distinct value in one task, which continuous scores do not survive. Here a mergeable
-    sketch brackets the quantile first; the second pass keeps exact values only inside the bracket and folds everything
-    below it into one counter on the map side. What reaches the last task is about ``8 / accuracy`` of the distinct
-    values. Both passes read ``df``, so hand in a written table or a cheap plan.
+    ``percentile`` keeps every distinct value in one task, which continuous scores do not survive. Here the counts of the
+    values are spread over tasks in value order and written once, and only the total of each task is ordered centrally.
     """
-    margin = 4.0 / accuracy
-    v = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    # With fewer rows than sketch steps the bracket is everything; above that, four steps each way cover the error of
-    # the sketch (one step) and the different rank conventions (two rows).
-    few = F.count("*") < accuracy
-    low = F.min("v") if p - margin <= 0 else F.when(few, F.min("v")).otherwise(
-        F.percentile_approx("v", p - margin, accuracy)
-    )
-    high = F.max("v") if p + margin >= 1 else F.when(few, F.max("v")).otherwise(
-        F.percentile_approx("v", p + margin, accuracy)
-    )
-    bracket = v.agg(F.struct(low.alias("lo"), high.alias("hi"), F.count("*").alias("n")).alias("b")).scalar()
-
-    counted = (
-        v.where(F.col("v") <= bracket.getField("hi"))
-        .groupBy(F.when(F.col("v") < bracket.getField("lo"), F.lit(-math.inf)).otherwise(F.col("v")).alias("v"))
-        .agg(F.count("*").alias("c"))
-    )
-    rank = (bracket.getField("n") - 1) * F.lit(float(p))
-    running = counted.select(
-        "v", F.sum("c").over(Window.orderBy("v")).alias("upto"), rank.alias("rank"), F.floor(rank).alias("k")
-    )
-    ends = running.agg(
-        F.min(F.when(F.col("upto") > F.col("k"), F.col("v"))).alias("left"),
-        F.min(F.when(F.col("upto") > F.col("k") + 1, F.col("v"))).alias("right"),
-        F.max(F.col("rank") - F.col("k")).alias("part"),
-    )
-    between = F.col("left") + F.col("part") * (F.coalesce("right", "left") - F.col("left"))
-    missed = F.raise_error(F.lit("the sketch bracket missed the quantile; raise the accuracy"))
-    return ends.select(F.when(F.col("left") == -math.inf, missed.cast("double")).otherwise(between).alias("value"))
+    values = df.select(F.lit(0).alias("g"), F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+    counts = durable(range_parts(values.groupBy("g", "v").agg(F.count("*").alias("c")), "g", "v"), "value-counts")
+    found = quantiles_from_counts(counts, "g", "v", "c", [p])
+    return found.agg(F.max(F.col("quantiles")[0]).alias("value"))
 
 
 def range_parts(counts: DataFrame, group: str, value: str) -> DataFrame:

@@ -74,11 +74,11 @@ def classify_anomalies(
 
 
 def score_positions(
-    snapshots: DataFrame, trees: int = 200, seed: int = 42, date: str = "date"
+    snapshots: DataFrame, trees: int = 200, seed: int = 42, date: str = "date", sample: int = 256
 ) -> tuple[IsolationForestModel, DataFrame]:
     """Isolation forest on the stock features. Features and scores are written once; later steps re-read them."""
     features = durable(stock_features(snapshots, date), "stock-features")
-    model = fit_isolation_forest(features, [date, "location_type", *SERIES], FEATURES, trees=trees, seed=seed)
+    model = fit_isolation_forest(features, [date, "location_type", *SERIES], FEATURES, trees, sample, seed)
     return model, durable(model.score(features), "stock-scores")
 
 
@@ -88,6 +88,8 @@ def detect_anomalies(
     trees: int = 200,
     seed: int = 42,
     date: str = "date",
+    sample: int = 256,
 ) -> DataFrame:
-    _, scored = score_positions(snapshots, trees, seed, date)
+    """Anomalous stock positions by an isolation forest; each tree grows on ``sample`` rows, whatever the table's size."""
+    _, scored = score_positions(snapshots, trees, seed, date, sample)
     return classify_anomalies(scored, contamination, date=date)

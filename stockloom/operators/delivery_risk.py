@@ -134,12 +134,12 @@ def train_delivery_risk(
 
 
 def holdout_auc(scored: DataFrame) -> float | None:
-    """Area under the ROC curve on the hold-out, NULL when it has one class only."""
+    """Area under the ROC curve on the hold-out over all distinct scores, NULL when it has one class only."""
     test = scored.where("in_holdout")
     classes = test.agg(F.countDistinct("is_late").alias("n")).first()["n"]
     if classes < 2:
         return None
-    evaluator = BinaryClassificationEvaluator(rawPredictionCol="late_risk_score", labelCol="is_late")
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol="late_risk_score", labelCol="is_late", numBins=0)
     return round(evaluator.evaluate(test), 4)
 
 

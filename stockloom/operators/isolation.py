@@ -86,6 +86,11 @@ def _uniform(*parts) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
+def binomial_share(n: int, p: float, k: int) -> float:
+    """Chance of ``k`` hits in ``n`` draws."""
+    return math.comb(n, k) * p**k * (1 - p) ** (n - k)
+
+
 def tree_samples(
     df: DataFrame, ids: list[str], features: list[str], rows: int, trees: int, sample: int, seed: int
 ) -> DataFrame:
@@ -97,15 +102,13 @@ def tree_samples(
     key = [F.col(c) for c in ids]
     rate = min(1.0, OVERSAMPLE * sample / max(rows, 1))
     inputs = [_input(c).alias(f"x{i}") for i, c in enumerate(features)]
-    if rate * trees < 1.0:
-        drawn = df.where(_uniform(F.lit(seed), *key) < rate * trees).withColumn(
-            "tree", F.floor(_uniform(F.lit(seed + 1), *key) * trees).cast("int")
-        )
-    else:
-        chosen = F.filter(
-            F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: _uniform(F.lit(seed), t, *key) < F.lit(rate)
-        )
-        drawn = df.withColumn("tree", F.explode(chosen))
+    # The number of trees that a row enters is drawn first; most rows of a large table enter none and cost one hash.
+    shares = [binomial_share(trees, rate, k) for k in range(trees + 1)]
+    upto = [sum(shares[: k + 1]) for k in range(trees)]
+    count = F.size(F.filter(F.array(*[F.lit(c) for c in upto if c < 1 - 1e-15] or [F.lit(2.0)]), lambda c: _uniform(F.lit(seed), *key) >= c))
+    every = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(F.xxhash64(F.lit(seed + 1), t, *key).alias("h"), t.alias("t")))
+    chosen = F.when(count > 0, F.transform(F.slice(F.array_sort(every), F.lit(1), count), lambda x: x["t"]))
+    drawn = df.withColumn("tree", F.explode(chosen))
     ranked = Window.partitionBy("tree").orderBy(F.xxhash64(F.lit(seed + 2), F.col("tree"), *key), *key)
     return (
         drawn.select("tree", F.row_number().over(ranked).alias("rank"), *inputs)

@@ -254,21 +254,36 @@ def selected_kpi(kpis: DataFrame, selection: str | None, default: str = "Invento
 
 # --- row-level security -----------------------------------------------------------------------------------------
 
-# Role to the dimension column it is restricted on; other roles see everything.
+# Role to the dimension column it is restricted on, and the roles that see everything.
 ROLE_COLUMNS = {"Regional Planner": "region", "Category Manager": "category"}
+UNRESTRICTED_ROLES = ("Executive", "Data Steward")
+
+
+def _role_column(role: str) -> str | None:
+    """Column that restricts a role, none for a role without restriction; a role that isn't known is refused."""
+    if role in UNRESTRICTED_ROLES:
+        return None
+    if role not in ROLE_COLUMNS:
+        raise ValueError(f"unknown role {role!r}")
+    return ROLE_COLUMNS[role]
 
 
 def apply_role(df: DataFrame, role: str, allowed: Sequence[str]) -> DataFrame:
-    """Rows of a dimension, or of a fact that carries the column, that a role may see."""
-    column = ROLE_COLUMNS.get(role)
-    if column is None or column not in df.columns:
+    """Rows of a dimension, or of a fact that carries the column, that a role may see.
+
+    A role that isn't known, or whose column isn't there, is an error: nothing is shown by mistake.
+    """
+    column = _role_column(role)
+    if column is None:
         return df
+    if column not in df.columns:
+        raise ValueError(f"role {role!r} is restricted on {column!r}, which is not among the columns")
     return df.where(F.col(column).isin(*allowed)) if allowed else df.where(F.lit(False))
 
 
 def restrict_fact(fact: DataFrame, dimension: DataFrame, key: str, role: str, allowed: Sequence[str]) -> DataFrame:
-    """Rows of a fact whose dimension row the role may see."""
-    if ROLE_COLUMNS.get(role) not in dimension.columns:
+    """Rows of a fact whose dimension row the role may see; the dimension must carry the role's column."""
+    if _role_column(role) is None:
         return fact
     return fact.join(apply_role(dimension, role, allowed).select(key), key, "left_semi").select(*fact.columns)
 

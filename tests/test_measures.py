@@ -72,8 +72,13 @@ def test_roles(spark):
         return {r["v"] for r in rows(measures.restrict_fact(facts, stores, "store_id", role, allowed))}
 
     assert seen("Regional Planner", ["N"]) == {1} and seen("Regional Planner", []) == set()
-    assert seen("Category Manager", ["X"]) == {1, 2} and seen("Executive", []) == {1, 2}
+    assert seen("Executive", []) == {1, 2}
     assert measures.apply_role(stores, "Regional Planner", ["E"]).count() == 1
+    for role in ("Category Manager", "regional planner", "", None):
+        with pytest.raises(ValueError):
+            seen(role, ["X"])
+        with pytest.raises(ValueError):
+            measures.apply_role(stores, role, ["X"])
 
 
 def test_location_has_two_roles(spark):
