@@ -6,6 +6,7 @@ import datetime
 import glob
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -63,6 +64,7 @@ def main(folder: str, names: list[str]) -> int:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="compare-"))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stockloom.functions import stocking
 from stockloom.functions.banding import DEFAULTS, Thresholds
 from stockloom.functions.columns import rounded, safe_divide, share_true
+from stockloom.operators.recent import newest_month, since
 
 # Name, demand shock, lead-time shock.
 SCENARIOS = [
@@ -45,10 +46,10 @@ def demand_statistics(
     sales: DataFrame, days: int = 56, keys: tuple[str, ...] = ("store_id", "sku_id"), date: str = "date"
 ) -> DataFrame:
     """Mean and sample deviation of daily units over the last ``days`` days; a lone day gets 30 % of its mean."""
-    last = sales.agg(F.date_sub(F.max(date), days).alias("d")).scalar()
+    last = newest_month(sales).agg(F.date_sub(F.max(date), days).alias("d")).scalar()
     mean = F.avg("units_sold")
     return (
-        sales.where(F.col(date) > last)
+        since(sales, date, last, inclusive=False)
         .groupBy(*keys)
         .agg(mean.alias("demand_mean"), F.coalesce(F.stddev_samp("units_sold"), mean * 0.3).alias("demand_std"))
     )

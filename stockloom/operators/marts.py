@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stockloom.functions.banding import DEFAULTS, Thresholds
 from stockloom.functions.columns import clip_low, rounded, safe_divide, share_true
+from stockloom.operators.recent import newest_month, since
 
 
 def _typed(df: DataFrame, **types: str) -> DataFrame:
@@ -91,8 +92,8 @@ def category_stock_mart(staged: DataFrame, skus: DataFrame, thresholds: Threshol
 
 def trailing_days(df: DataFrame, date: str, days: int, inclusive: bool = True) -> DataFrame:
     """Rows of the last ``days`` days before the newest date of the table (``>=`` or ``>``)."""
-    start = df.agg(F.date_sub(F.max(date), days).alias("d")).scalar()
-    return df.where((F.col(date) >= start) if inclusive else (F.col(date) > start))
+    start = newest_month(df).agg(F.date_sub(F.max(date), days).alias("d")).scalar()
+    return since(df, date, start, inclusive)
 
 
 def inventory_health(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockloom.functions.columns import col, week_start, yearly_phase
+from stockloom.operators.recent import newest_month, since
 from stockloom.sources.durable import durable
 
 SERIES = ["store_id", "sku_id"]
@@ -131,7 +132,7 @@ def split_train_test(panel: DataFrame, test_weeks: int = 8) -> tuple[DataFrame,
 
 def first_of_latest_weeks(df: DataFrame, weeks: int = 13, date: str = "week") -> Column:
     """Monday that opens the newest ``weeks`` calendar weeks of a date column, as a scalar subquery."""
-    return df.agg(F.date_sub(week_start(F.max(date)), 7 * (weeks - 1)).alias("d")).scalar()
+    return newest_month(df).agg(F.date_sub(week_start(F.max(date)), 7 * (weeks - 1)).alias("d")).scalar()
 
 
 def latest_weeks(df: DataFrame, weeks: int = 13, date: str = "week") -> DataFrame:
@@ -139,4 +140,4 @@ def latest_weeks(df: DataFrame, weeks: int = 13, date: str = "week") -> DataFram
 
     Apply it to a fact before aggregating: the date filter then reaches the scan.
     """
-    return df.where(F.col(date) >= first_of_latest_weeks(df, weeks, date))
+    return since(df, date, first_of_latest_weeks(df, weeks, date))

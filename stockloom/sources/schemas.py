@@ -55,6 +55,9 @@ PARTITION_DATES: dict[str, str] = {
     "inventory_snapshots": "date",
     "purchase_orders": "order_date",
     "replenishment_decisions": "date",
+    "stock_outs": "date",
+    "returns": "date",
+    "fact_stockouts": "date_key",
     "fact_daily_sales": "date_key",
     "fact_inventory": "date_key",
     "fact_purchase_orders": "order_date",

@@ -1,7 +1,9 @@
+import pytest
 from helpers import day, one, rows
-from stockloom.operators import gold, marts, silver
+from stockloom.operators import gold, inventory, marts, panel, silver
 from stockloom.plans.warehouse import reconcile_layers
 from stockloom.sources.schemas import RAW_SCHEMAS
+from stockloom.sources.tables import read_layer, write_layer
 
 SALES = RAW_SCHEMAS["daily_sales"]
 
@@ -147,3 +149,24 @@ def test_category_mart_counts_store_rows_only(spark):
     )
     got = one(marts.category_stock_mart(inv, spark.createDataFrame([("A", "C")], "sku_id string, category string")))
     assert got == {"category": "C", "snapshot_rows": 2, "avg_days_of_supply": 6.0, "excess_stock_rate": 0.5}
+
+
+@pytest.mark.parametrize("what", ["inventory_health", "demand_statistics", "latest_weeks"])
+def test_newest_days_skip_month_folders(spark, tmp_path, what):
+    days = spark.sql("select explode(sequence(date'2023-01-01', date'2024-03-20', interval 1 day)) as date_key")
+    fact = days.selectExpr("date_key", "'S' as store_id", "'A' as sku_id", "'Store' as location_type", "1L as units_sold", "2D as days_of_supply", "true as stockout_flag", "3L as lost_sales_units_estimate", "9D as lost_sales_revenue_estimate")
+    write_layer({"fact_daily_sales": fact, "fact_inventory": fact, "fact_stockouts": fact}, str(tmp_path), "gold")
+    read = read_layer(spark, str(tmp_path), "gold", ["fact_daily_sales", "fact_inventory", "fact_stockouts"])
+    products = spark.createDataFrame([("A", "X")], "sku_id string, category string")
+    sales = read["fact_daily_sales"]
+    run = {
+        "inventory_health": lambda sales, stock, outs: marts.inventory_health(stock, outs, products),
+        "demand_statistics": lambda sales, stock, outs: inventory.demand_statistics(sales, date="date_key"),
+        "latest_weeks": lambda sales, stock, outs: panel.latest_weeks(sales, date="date_key").drop("load_month"),
+    }[what]
+    found = run(sales, read["fact_inventory"], read["fact_stockouts"])
+    whole = run(fact, fact, fact)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.select(*found.columns).collect()))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and all("load_month" in line.partition("PartitionFilters: [")[2].partition("]")[0] for line in scans)
