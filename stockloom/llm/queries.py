@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stockloom.llm import op3_urls
+from stockloom.llm import op3_urls, sql
 from stockloom.llm.op1_html import op1_html_extraction
 from stockloom.llm.op2_fingerprint import op2_fingerprint
 from stockloom.llm.op3_urls import op3_url_filter
@@ -30,4 +30,9 @@ QUERIES = {
     )
 }
 
-ORACLE: dict[str, str] = {"op3_url_filter": op3_urls.SQL}
+ORACLE: dict[str, str] = {
+    "op3_url_filter": op3_urls.SQL,
+    "op6_line_dedup": sql.LINE_DEDUP,
+    "op7_embedding_join": sql.EMBEDDING_JOIN,
+    "op8_jaccard_join": sql.JACCARD_JOIN,
+}
