@@ -107,6 +107,7 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     named = stored(at(at(found, "a", "x"), "z", "y"), "intervals")
     first = named.groupBy("d", "x", "y").agg(F.min(F.struct("doc_id", "h", "a")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = stored(first, "first-copies")  # read again, so that a skewed join can be split
     later = named.join(first, ["d", "x", "y"]).where(F.struct("doc_id", "h", "a") != F.col("first"))
     return later.select(*DOC, F.explode(F.sequence(F.col("a"), F.col("a") + F.col("d") - 1)).alias("j")).groupBy(*DOC).agg(F.collect_set("j").alias("gone"))
 
@@ -123,12 +124,13 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
     gone = deleted_lines(rows.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col("_h").alias("h"), text_of(text).alias("text")), min_words)
     gone = gone.select(F.col("doc_id").alias("_d"), F.col("h").alias("_g"), F.col("gone").alias("_gone"))
     joined = rows.join(gone, F.col(doc_id).cast("bigint").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_g")), "left")
-    parts = F.split(F.col(text), "\n")
-    own = F.transform(lines_of(F.col(text)), lambda s: s["line_no"])
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.transform("_gone", lambda j: F.get(own, j)))
-    shorter = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
-    out = joined.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(shorter)).withColumn("lines_deleted", F.coalesce(F.size("_gone"), F.lit(0)))
-    return out.drop("_h", "_d", "_g", "_gone")
+    changed = F.col("_gone").isNotNull()
+    # columns of their own: inside a lambda an expression would be evaluated anew for each line
+    joined = joined.withColumn("_parts", F.when(changed, F.split(F.col(text), "\n"))).withColumn("_own", F.when(changed, F.transform(lines_of(F.col(text)), lambda s: s["line_no"])))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), F.transform("_gone", lambda j: F.get("_own", j)))
+    shorter = F.array_join(F.transform(left, lambda i: F.get("_parts", i)), "\n")
+    out = joined.withColumn(text, F.when(changed, shorter).otherwise(F.col(text))).withColumn("lines_deleted", F.coalesce(F.size("_gone"), F.lit(0)))
+    return out.drop("_h", "_d", "_g", "_gone", "_parts", "_own")
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
