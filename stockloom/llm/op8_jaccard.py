@@ -34,7 +34,7 @@ WORDS, SIMILARITY = 5, (80, 100)
 MISSED = 1e-12
 TILE, LEAF, BUNDLE = 512, 16, 2000
 BROADCAST_ROWS = 1_000_000
-CACHED = 1_000_000
+CACHED, SLICE = 300_000, 6_000_000  # words a Python worker keeps; bytes of text worked on at a time
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -257,7 +257,7 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
         regions, seen = Regions(fraction), set()
         for batch in batches:
             sizes, ids, keys = [], [], []
-            for run in slices(batch.column(1)):
+            for run in slices(batch.column(1), SLICE):
                 for tokens in shingles.value.sets(run):
                     sizes.append(len(tokens))
                     ids.append(_identity(tokens) if len(tokens) else None)
@@ -271,7 +271,7 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
 
     def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for run in slices(batch.column(0)):
+            for run in slices(batch.column(0), SLICE):
                 found = [t for t in shingles.value.sets(run) if len(t)]
                 yield pa.RecordBatch.from_arrays([pa.array([_identity(t) for t in found], pa.int64()), pa.array([len(t) for t in found], pa.int64()), pa.array([t.tobytes() for t in found], pa.binary())], ["sid", "n", "tokens"])
 
@@ -279,6 +279,7 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     with_id = known.where("doc_id is not null and sid is not null")
     meeting = with_id.select("sid", F.explode("keys").alias("key"))
     shared = meeting.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("key", "low")
+    shared = stored(shared, "shared-keys")  # read again, so that a skewed join can be split
     candidates = meeting.join(shared.hint("shuffle_hash"), "key").where("sid <> low").select("sid", "low").distinct()
     groups = stored(components(candidates, "sid", "low").withColumnRenamed("node", "sid"), "set-groups")
     firsts = with_id.join(groups, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
@@ -301,7 +302,7 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     smallest = with_id.groupBy("sid").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     smallest = smallest.join(roots, "sid", "left").where("copies > 1 or root is not null").withColumn("root", F.coalesce("root", "sid"))
     smallest = stored(smallest, "set-roots")
-    least = smallest.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = stored(smallest.groupBy("root").agg(F.min("first").alias("component_id")), "smallest-ids")
     chosen = smallest.join(least, "root").select("sid", "component_id")
     out = known.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("sid")).alias("sid")).join(chosen, "sid", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
