@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.star import Star, tidy
+from stockloom.functions import stocking
 from stockloom.functions.banding import status_colour
 from stockloom.functions.columns import month_start
 from stockloom.operators import (
@@ -385,8 +386,9 @@ def reorder_recommendations(s):
 @query
 def reorder_recommendations_by_category(s):
     """Service level by category and holding cost on the unit cost."""
-    dairy = F.col("category").isin("PROMO", "SMALL")
-    z = s.raw("skus").select("category").distinct().withColumn("z", F.when(dairy, 1.88).otherwise(1.28))
+    high = F.col("category").isin("PROMO", "SMALL")
+    levels = s.raw("skus").select("category").distinct()
+    z = stocking.category_z(levels.withColumn("target_service_level", F.when(high, 0.97).otherwise(0.90)))
     return inventory.reorder_recommendations(
         s.demand_stats, s.raw("lead_times"), s.raw("skus"), holding_base="unit_cost", category_z=z
     )

@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from statistics import NormalDist
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+from stockloom.functions.columns import col, rounded, safe_divide
+from stockloom.shipping import ship_with_tasks
+
+
+@F.pandas_udf(DoubleType())
+def normal_quantile(p: pd.Series) -> pd.Series:
+    """Standard normal quantile; null outside the open interval from 0 to 1."""
+    quantile = NormalDist().inv_cdf
+    return p.map(lambda x: quantile(x) if 0 < x < 1 else None).astype("float64")
 
-from stockloom.functions.columns import col, safe_divide
+
+def category_z(levels: DataFrame) -> DataFrame:
+    """``category, z`` (2 decimals) of a table of target service levels by category."""
+    return levels.select("category", rounded(normal_quantile("target_service_level"), 2).alias("z"))
 
 
 def safety_stock(demand_mean, demand_std, lead_days, lead_std, z) -> Column:
@@ -34,3 +51,6 @@ def inventory_turns(cogs_annual, inventory_value) -> Column:
 
 def days_of_supply(on_hand, mean_daily_demand, floor: float = 0.1) -> Column:
     return col(on_hand) / F.greatest(col(mean_daily_demand), F.lit(floor))
+
+
+ship_with_tasks(__name__)

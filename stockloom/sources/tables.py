@@ -97,16 +97,16 @@ def read_service_levels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def service_level_seed(spark: SparkSession) -> DataFrame:
-    """Target service level by category. Fixed values."""
+    """Target service level by category (fixed values) and the reason for it."""
     rows = [
-        ("Beverages", 0.95),
-        ("Snacks", 0.95),
-        ("Dairy", 0.97),
-        ("Household", 0.90),
-        ("Personal Care", 0.90),
-        ("Frozen", 0.95),
+        ("Beverages", 0.95, "sells daily"),
+        ("Snacks", 0.95, "sells daily"),
+        ("Dairy", 0.97, "keeps for days only"),
+        ("Household", 0.90, "can wait for the next delivery"),
+        ("Personal Care", 0.90, "can wait for the next delivery"),
+        ("Frozen", 0.95, "sells daily"),
     ]
-    return spark.createDataFrame(rows, "category string, target_service_level double")
+    return spark.createDataFrame(rows, SERVICE_LEVEL_SCHEMA)
 
 
 def row_counts(tables: Mapping[str, DataFrame], layer: str) -> DataFrame:

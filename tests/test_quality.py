@@ -2,6 +2,7 @@ import pytest
 
 from helpers import one, rows
 from stockloom.operators import quality
+from stockloom.functions.stocking import category_z
 from stockloom.sources.tables import read_service_levels, service_level_seed
 
 
@@ -114,6 +115,8 @@ def test_failing_rows(spark):
 def test_service_levels(spark, tmp_path):
     seed = service_level_seed(spark)
     assert {r["category"]: r["target_service_level"] for r in rows(seed)}["Dairy"] == 0.97
+    assert {r["category"]: r["z"] for r in rows(category_z(seed))} == {"Beverages": 1.64, "Snacks": 1.64, "Dairy": 1.88, "Household": 1.28, "Personal Care": 1.28, "Frozen": 1.64}
+    assert all(r["rationale"] for r in rows(seed))
     path = tmp_path / "levels.csv"
     path.write_text("category,target_service_level,rationale\nDairy,0.97,short life\n")
     assert one(read_service_levels(spark, str(path)))["target_service_level"] == 0.97
