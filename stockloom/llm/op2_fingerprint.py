@@ -33,17 +33,21 @@ def equal_lanes(text: Column) -> list[Column]:
     return [lane(j) for j in range(EQUAL)]
 
 
-def word_groups(paragraph: Column) -> Column:
-    """Hash of every word of a paragraph with the two words after it, as far as there are any."""
-    words = F.split(paragraph, " ")
+def word_groups(words: Column) -> Column:
+    """Hash of every word of a paragraph with the two words after it, as far as there are any. ``words`` must be a column:
+    an expression would be evaluated anew for each word."""
     return F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
 
 
-def alike_sums(group: Column) -> list[Column]:
-    """Aggregates of the lanes over hashes of word groups."""
-    lane = group.bitwiseAND(F.lit(ALIKE - 1))
-    sign = F.when(group < 0, -1).otherwise(1)
-    return [F.sum(F.when(lane == j, sign).otherwise(0)).alias(f"a{j}") for j in range(ALIKE)]
+def alike_lanes(groups: DataFrame, keys: list[str], largest: list[str]) -> DataFrame:
+    """Sums of the lanes over the hashes ``g`` of word groups, and the largest of some columns, for each value of ``keys``.
+
+    A hash adds +1 or -1 to one lane, so it is summed lane by lane first; only these sums are turned into columns.
+    """
+    g = F.col("g")
+    single = groups.select(*keys, *largest, g.bitwiseAND(F.lit(ALIKE - 1)).alias("lane"), F.when(g < 0, -1).when(g >= 0, 1).otherwise(0).alias("sign"))
+    lanes = single.groupBy(*keys, "lane").agg(*[F.max(c).alias(c) for c in largest], F.sum("sign").alias("sum"))
+    return lanes.groupBy(*keys).agg(*[F.max(c).alias(c) for c in largest], *[F.sum(F.when(F.col("lane") == j, F.col("sum")).otherwise(0)).alias(f"a{j}") for j in range(ALIKE)])
 
 
 def as_text(equal: Column, alike: Column) -> Column:
@@ -87,9 +91,10 @@ def fingerprints(texts: DataFrame, keys: list[str], text: str = "text") -> DataF
     for j in range(EQUAL):
         h = F.xxhash64(F.lit(j), F.col("_p")).bitwiseAND(mask)
         high, low = F.sum(F.shiftright(h, 31)), F.sum(h.bitwiseAND(F.lit(halves - 1)))
-        equal.append(((F.pmod(high, F.lit(halves)) * F.lit(halves) + low) .bitwiseAND(mask)).alias(f"e{j}"))
+        equal.append(((F.pmod(high, F.lit(halves)) * F.lit(halves) + low).bitwiseAND(mask)).alias(f"e{j}"))
     whole = paragraphs.groupBy(*keys).agg(*equal)
-    groups = paragraphs.select(*keys, F.explode(word_groups(F.col("_p"))).alias("_g")).groupBy(*keys).agg(*alike_sums(F.col("_g")))
+    words = paragraphs.select(*keys, F.split("_p", " ").alias("_w"))
+    groups = alike_lanes(words.select(*keys, F.explode(word_groups(F.col("_w"))).alias("g")), keys, [])
     names = [F.col(f"a{j}") for j in range(ALIKE)]
     condition = None
     for k in keys:
@@ -157,8 +162,9 @@ def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = [f"s{i}" for i in range(5)] + [f"e{j}" for j in range(EQUAL)]
     rows = rows.select(*keys, *sums[:5], "t", *[c.alias(f"e{j}") for j, c in enumerate(equal_lanes(F.col("t")))])
     paragraphs = rows.select(*keys, *sums, F.explode(F.split("t", "\n")).alias("p"))
-    groups = paragraphs.select(*keys, *sums, F.explode(word_groups(F.col("p"))).alias("g"))
-    prints = groups.groupBy(*keys).agg(*[F.max(s).alias(s) for s in sums], *alike_sums(F.col("g")))
+    words = paragraphs.select(*keys, *sums, F.split("p", " ").alias("w"))
+    groups = words.select(*keys, *sums, F.explode(word_groups(F.col("w"))).alias("g"))
+    prints = alike_lanes(groups, keys, sums)
     prints = prints.select(
         *keys,
         F.lower(F.concat(*[F.lpad(F.hex(f"s{i}"), 15 if i < 4 else 4, "0") for i in range(5)])).alias("edited_sha256"),
