@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockloom.llm.common import shuffle_parts, stored, table
 from stockloom.llm.links import components
@@ -208,19 +209,17 @@ def near_duplicates(embeddings: DataFrame, vec_id: str = "vec_id", vector: str =
 
 
 def _places(axes: np.ndarray):
-    from pyspark.sql import types as T
+    """UDF: a vector's place in the principal dimensions; zeros for vectors of another length than these are for."""
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def place(vectors: pa.Array) -> pa.Array:
-        out = []
         rows = vectors.to_pylist()
         sizes = np.array([len(x) for x in rows])
         found = np.zeros((len(rows), axes.shape[1]))
         whole = np.flatnonzero(sizes == len(axes))
         if len(whole):
             found[whole] = unit(np.array([rows[i] for i in whole], np.float64)) @ axes
-        out = found.tolist()
-        return pa.array(out, pa.list_(pa.float64()))
+        return pa.array(found.tolist(), pa.list_(pa.float64()))
 
     return place
 
