@@ -23,7 +23,7 @@ from stockloom.shipping import ship_with_tasks
 
 SHORT = 48
 NEVER = np.int32(2**31 - 1)
-CACHED = 1_000_000  # encodings a Python worker keeps of each kind; what comes later is encoded anew for each slice of texts
+CACHED = 400_000  # encodings a Python worker keeps of each kind; what comes later is encoded anew for each slice of texts
 
 
 def byte_letters() -> dict[str, int]:
@@ -165,27 +165,27 @@ def spread(values: list[bytes], codes: np.ndarray, width: int) -> tuple[np.ndarr
 
 
 def gathered(base: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """As ``spread``, for values that lie end to end in ``base``; at most a million codes are worked on at a time."""
+    """As ``spread``, for values that lie end to end in ``base``; a part of the codes is worked on at a time."""
     start = np.cumsum(size) - size
     ends = np.concatenate([[0], np.cumsum(size[codes])])
     out = np.empty(ends[-1], base.dtype)
-    for at in range(0, len(codes), 1_000_000):
-        part = codes[at : at + 1_000_000]
+    for at in range(0, len(codes), 250_000):
+        part = codes[at : at + 250_000]
         first, n = ends[at], size[part]
         length = int(n.sum())
         out[first : first + length] = base[np.repeat(start[part] - (np.cumsum(n) - n), n) + np.arange(length)]
     return out, ends
 
 
-def slices(texts: pa.Array, most: int = 16_000_000) -> Iterator[pa.Array]:
+def slices(texts: pa.Array, most: int = 8_000_000) -> Iterator[pa.Array]:
     """Runs of texts of about ``most`` bytes in all, nulls as empty texts; a longer text is a run of its own."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     start = 0
     while start < len(texts):
         before = ends[start - 1] if start else 0
         end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
-        yield texts.slice(start, end - start)
+        # a copy: some kernels read a slice, or what is cast from one, from the beginning of its buffer
+        yield pc.fill_null(texts.take(pa.array(np.arange(start, end))), "").cast(pa.large_string())
         start = end
 
 

@@ -28,7 +28,7 @@ from stockloom.shipping import ship_with_tasks
 
 MAX_DOCS, MAX_WORDS, MAX_GRAMS, GRAM = 20_000, 30_000, 20_000, 4
 UNKNOWN = "und"
-CACHED = 600_000
+CACHED, SLICE = 300_000, 4_000_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -184,7 +184,7 @@ def language_udf(spark: SparkSession, model: Model):
     @F.arrow_udf(T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())]))
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            found = [x for run in slices(batch) for x in shared.value.identify(run)]
+            found = [x for run in slices(batch, SLICE) for x in shared.value.identify(run)]
             yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], ["lang", "score"])
 
     return predict

@@ -1,7 +1,7 @@
 """Encoding and decoding by byte-level BPE with a contiguous rank array (see ``bpe``).
 
 The model (a few MB, its size fixed by the vocabulary) is read once on the driver and broadcast. Each row is encoded in
-the task that reads it; nothing is shuffled, and a task holds one Arrow batch, worked on in slices of about 16 MB of text.
+the task that reads it; nothing is shuffled, and a task holds one Arrow batch, worked on in slices of about 8 MB of text.
 """
 
 from __future__ import annotations

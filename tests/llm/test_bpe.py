@@ -23,6 +23,22 @@ def test_ids_equal_the_library():
         assert flat[a:b].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_slices_are_whole_texts():
+    import pyarrow.compute as pc
+
+    from stockloom.llm.bpe import slices
+
+    texts = [None if i % 7 == 0 else "ÀÉ x Ça " * (i % 50) for i in range(400)]
+    for kind in (pa.string(), pa.large_string()):
+        runs = list(slices(pa.array(texts, kind), 3000))
+        assert len(runs) > 20 and [t for run in runs for t in run.to_pylist()] == [t or "" for t in texts]
+        lower = [t for run in runs for t in pc.ascii_lower(run).to_pylist()]
+        assert lower == ["".join(c.lower() if c.isascii() else c for c in t or "") for t in texts]
+    encoder = TextEncoder(open(FILE).read())
+    whole, _ = encoder.encode(pa.array([t or "" for t in texts], pa.large_string()))
+    assert np.concatenate([encoder.encode(run)[0] for run in slices(pa.array(texts), 3000)]).tolist() == whole.tolist()
+
+
 def test_round_trip(spark):
     docs = spark.createDataFrame([*enumerate(ODD), (99, None), (5, ODD[5])], "doc_id long, text string").selectExpr("*", "'x' as decoded")
     found = decoded(encoded(docs, FILE), FILE).collect()
