@@ -146,7 +146,8 @@ def tile_pairs(tiles: DataFrame, leading: int, reach: float) -> DataFrame:
         ends = [F.min("size").alias("low_size"), F.max("size").alias("high_size")] + [f(f"{name}{k}").alias(f"{name}{k}") for k in range(leading) for name, f in (("low", F.min), ("high", F.max))]
         nodes = boxes.groupBy(node.alias("node")).agg(*ends)
         below = F.sequence(F.lit(0), F.lit(FAN_OUT - 1))
-        pairs = pairs.select((F.col("a") * FAN_OUT + F.explode(below)).alias("a"), "b").select("a", (F.col("b") * FAN_OUT + F.explode(below)).alias("b")).where("a <= b")
+        pairs = pairs.select("a", "b", F.explode(below).alias("i")).select("a", "b", "i", F.explode(below).alias("j"))
+        pairs = pairs.select((F.col("a") * FAN_OUT + F.col("i")).alias("a"), (F.col("b") * FAN_OUT + F.col("j")).alias("b")).where("a <= b")
         x, y = nodes.alias("x"), nodes.alias("y")
         far = sum((F.greatest(F.lit(0.0), F.col(f"y.low{k}") - F.col(f"x.high{k}"), F.col(f"x.low{k}") - F.col(f"y.high{k}")) ** 2 for k in range(leading)), F.lit(0.0))
         same_size = (F.col("x.low_size") <= F.col("y.high_size")) & (F.col("y.low_size") <= F.col("x.high_size"))
@@ -160,7 +161,7 @@ def valid(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def near_duplicates(embeddings: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
+def near_duplicates(embeddings: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id``, ``kept`` of every row.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, vectors of different
@@ -187,7 +188,7 @@ def near_duplicates(embeddings: DataFrame, vec_id: str = "vec_id", vector: str =
     placed = distinct.withColumn("size", F.size("vector")).withColumn("place", _places(axes)("vector"))
     width = float(np.sqrt(2 - 2 * threshold))
     cells = [F.floor(F.col("place")[k] / width) for k in range(leading)]
-    n_tiles = -(-n // TILE)
+    n_tiles = -(-n // tile)
     parts = max(n_tiles, shuffle_parts(spark))
     ordered = placed.repartitionByRange(parts, "size", *cells, *[F.col("place")[k] for k in range(leading)]).withColumn("part", F.spark_partition_id())
     ordered = stored(ordered.select("part", "size", "id", "copies", "vector", "place"), "grid-order")

@@ -27,9 +27,9 @@ def brute_force(rows, threshold=0.95):
     return sorted(out, key=str)
 
 
-def check(spark, rows, kind="double"):
+def check(spark, rows, kind="double", **settings):
     frame = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").selectExpr("*", "'x' as id", "1 as copies")
-    found = [(r.vec_id, r.n_links, r.component_id) for r in near_duplicates(frame).collect()]
+    found = [(r.vec_id, r.n_links, r.component_id) for r in near_duplicates(frame, **settings).collect()]
     assert sorted(found, key=str) == brute_force(rows)
 
 
@@ -39,7 +39,7 @@ def test_against_all_pairs(spark, seed):
     centres = rng.normal(size=(20, 12))
     rows = [(int(i), (centres[rng.integers(20)] + rng.normal(size=12) * rng.choice([0.05, 0.25, 1.0])).tolist()) for i in rng.permutation(900)]
     rows += [(1000 + i, rows[0][1]) for i in range(60)]
-    check(spark, rows)
+    check(spark, rows, tile=[4096, 100, 25][seed])
 
 
 def test_edge_cases(spark):
