@@ -34,9 +34,6 @@ from stockloom.sources.tables import read_layer, read_raw, row_counts, write_lay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# Boosting rounds and trees of the registered model queries; the library defaults are 300, 180 and 200.
-FORECAST_ROUNDS, RISK_ROUNDS, TREES = 10, 10, 50
-
 
 def query(build: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -318,7 +315,7 @@ def smoothing_accuracy(s):
 @query
 def boosted_tree_forecast(s):
     train, test = s.split
-    _, scored = forecasting.forecast_boosted_trees(train, test, rounds=FORECAST_ROUNDS, step=0.1)
+    _, scored = forecasting.forecast_boosted_trees(train, test)
     return scored.select("store_id", "sku_id", "week", "units_sold", "forecast_units")
 
 
@@ -358,7 +355,7 @@ def reconcile_top_down_training_share(s):
 def reconcile_all_methods(s):
     """Boosted trees bottom-up, smoothing top-down and the baseline, 11 rows."""
     train, test = s.split
-    _, champion = forecasting.forecast_boosted_trees(train, test, rounds=FORECAST_ROUNDS, step=0.1)
+    _, champion = forecasting.forecast_boosted_trees(train, test)
     smoothing = forecasting.forecast_exponential_smoothing(s.saved_panel)
     return reconciliation.reconcile(
         durable(champion, "champion"), smoothing, forecasting.forecast_moving_average(test)
@@ -486,7 +483,7 @@ def anomalies_by_step(s):
 
 @query
 def isolation_forest_anomalies(s):
-    return anomalies.detect_anomalies(s.raw("inventory_snapshots"), trees=TREES)
+    return anomalies.detect_anomalies(s.raw("inventory_snapshots"))
 
 
 @query
@@ -498,9 +495,7 @@ def anomaly_types(s):
 
 
 def _risk(s: Star) -> delivery_risk.RiskResult:
-    return delivery_risk.train_delivery_risk(
-        s.raw("purchase_orders"), s.raw("suppliers"), s.raw("skus"), rounds=RISK_ROUNDS
-    )
+    return delivery_risk.train_delivery_risk(s.raw("purchase_orders"), s.raw("suppliers"), s.raw("skus"))
 
 
 @query

@@ -153,3 +153,30 @@ def test_task_code_travels_without_the_package():
     )
     out = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, timeout=60)
     assert out.stdout.strip() == "0.9", out.stderr
+
+
+MODEL_QUERIES = {
+    "boosted_tree_forecast": "forecasting.forecast_boosted_trees",
+    "reconcile_all_methods": "forecasting.forecast_boosted_trees",
+    "isolation_forest_anomalies": "anomalies.detect_anomalies",
+    "delivery_risk_metrics": "delivery_risk.train_delivery_risk",
+    "delivery_risk_importance": "delivery_risk.train_delivery_risk",
+    "supplier_delivery_risk": "delivery_risk.train_delivery_risk",
+}
+
+
+@pytest.mark.parametrize("name", MODEL_QUERIES)
+def test_registered_model_queries_use_the_library_defaults(spark, monkeypatch, name):
+    from checks import queries
+
+    class Reached(Exception):
+        pass
+
+    def model(*tables, **settings):
+        raise Reached(settings)
+
+    module, function = MODEL_QUERIES[name].split(".")
+    monkeypatch.setattr(getattr(queries, module), function, model)
+    with pytest.raises(Reached) as reached:
+        queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert reached.value.args[0] == {}
