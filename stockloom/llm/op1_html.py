@@ -26,7 +26,7 @@ from stockloom.shipping import ship_with_tasks
 # Element names of the markup language, and words that sites use in class and id.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = "script style noscript template svg math iframe object audio video canvas select textarea button head title"
+UNSEEN = "script style noscript template svg math iframe object audio video canvas select textarea button title"
 AWAY = frozenset("nav footer aside form dialog menu fieldset".split())
 HOME = frozenset("article main".split())
 SECTIONS = AWAY | HOME | frozenset(["header", "section"])
@@ -44,7 +44,8 @@ GOOD_ROLES = frozenset(["article", "main"])
 CUES = re.compile(r"©|\bcookies?\b|all rights reserved|\bsubscribe\b|newsletter|privacy policy|\bsign up\b|\badvertisement\b", re.I)
 
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<unseen>" + "|".join(UNSEEN.split()) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</(?P=unseen)\s*>|\Z))"
+    r"<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/])(?:[^>\"'/]|/(?!>)|\"[^\"]*\"|'[^']*')*/>"
+    r"|<(?P<unseen>" + "|".join(UNSEEN.split()) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=unseen)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<[a-zA-Z/][^<>]*\Z",
     re.S | re.I,
 )
@@ -144,7 +145,7 @@ def blocks_of(page: str) -> list[Block]:
             here = _leave(here, {"p"}) if name[0] != "h" or name not in ("h1", "h2", "h3", "h4", "h5", "h6") else _leave(here, {"p", "h1", "h2", "h3", "h4", "h5", "h6"})
         if name in SAME_CLOSES:
             here = _leave(here, SAME_CLOSES[name] | {"p"}, stop=BARRIER - SAME_CLOSES[name])
-        if name == "body" or name == "html":
+        if name in ("html", "head", "body"):
             continue
         here = Element(name, here, m["attributes"].rstrip("/"))
     if at < len(page):

@@ -75,3 +75,13 @@ def test_given_pages(spark):
         body = pages[r.page_id].partition("<article>")[2].partition("</article>")[0]
         parts = [" ".join(entities.unescape(re.sub("<[^>]+>", "", p)).split()) for p in re.split("</?(?:p|h1)>", body)]
         assert r.text == "\n".join(filter(None, parts)) and r.n_chars == len(r.text)
+
+
+def test_unseen_elements_end():
+    article = "<article><h1>Head</h1><p>Some words that stand in an article of their own.</article>"
+    wanted = "Head\nSome words that stand in an article of their own."
+    assert main_text(f"<html><head><title>T</title><meta charset=x><body>{article}") == wanted
+    assert main_text(f"<head><title>T</title><style>p</style><script>q</script>{article}") == wanted
+    for icon in ("<svg class=icon/>", "<svg/>", '<svg class="a/b" d=\'x>y\' />', "<math display=block/>", "<svg><path d=a/>unseen</svg>", "<svg a=b/c>unseen</svg>"):
+        assert main_text(f"<body>{icon}{article}") == wanted
+    assert main_text(f"<video-player src=x></video-player><button-bar>{article}</button-bar>") == wanted
