@@ -9,8 +9,9 @@ joins of small tables, then inside a task from tiles down to blocks, whose vecto
 Equal vectors are one vector with a weight. A task hands on numbers of links and a spanning forest of the links it found,
 never the pairs, so a dense group costs time in proportion to its pairs but no space.
 
-The principal dimensions come from a bounded sample (``SAMPLE_VALUES`` numbers); they decide what can be skipped, never
-what is linked.
+The principal dimensions, of each length of vectors its own, come from a bounded sample (``SAMPLE_VALUES`` numbers); they
+decide what can be skipped, never what is linked. The hash of a vector is the last key of the order, so that vectors with
+one place still fall into tiles of bounded size.
 """
 
 from __future__ import annotations
@@ -38,8 +39,10 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def principal(sample: np.ndarray, leading: int = LEADING) -> np.ndarray:
-    """Orthonormal columns of the leading principal dimensions."""
+    """Orthonormal columns of the leading principal dimensions; fewer if the sample spans fewer."""
     centred = sample - sample.mean(axis=0)
+    if len(sample) < sample.shape[1]:
+        return np.linalg.svd(centred, full_matrices=False)[2][:leading].T
     return np.linalg.eigh(centred.T @ centred)[1][:, ::-1][:, :leading]
 
 
@@ -179,18 +182,19 @@ def near_duplicates(embeddings: DataFrame, vec_id: str = "vec_id", vector: str =
     if not n:
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     ids = distinct.select("h", "g", "id", "copies")
-    most = distinct.agg(F.max(F.size("vector")).alias("d")).first()["d"]
-    share = min(1.0, SAMPLE_VALUES / most / n)
-    sample = [np.array(r["vector"], np.float64) for r in distinct.where(F.pmod(F.col("h"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).select("vector").toLocalIterator()]
-    sample = [x for x in sample if len(x) == most] or [np.eye(1, most)[0]]
-    axes = principal(unit(np.array(sample)))
-    leading = axes.shape[1]
-    placed = distinct.withColumn("size", F.size("vector")).withColumn("place", _places(axes)("vector"))
+    sizes = distinct.agg(F.max(F.size("vector")).alias("most"), F.sum(F.size("vector").cast("bigint")).alias("total")).first()
+    leading = min(LEADING, sizes["most"])
+    share = min(1.0, SAMPLE_VALUES / sizes["total"])
+    sample: dict[int, list[np.ndarray]] = {}
+    for r in distinct.where(F.pmod(F.col("h"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).select("vector").toLocalIterator():
+        sample.setdefault(len(r["vector"]), []).append(np.array(r["vector"], np.float64))
+    axes = {d: principal(unit(np.array(found)), leading) for d, found in sample.items() if len(found) > 1}
+    placed = distinct.withColumn("size", F.size("vector")).withColumn("place", _places(axes, leading)("vector"))
     width = float(np.sqrt(2 - 2 * threshold))
     cells = [F.floor(F.col("place")[k] / width) for k in range(leading)]
     n_tiles = -(-n // tile)
     parts = max(n_tiles, shuffle_parts(spark))
-    ordered = placed.repartitionByRange(parts, "size", *cells, *[F.col("place")[k] for k in range(leading)]).withColumn("part", F.spark_partition_id())
+    ordered = placed.repartitionByRange(parts, "size", *cells, *[F.col("place")[k] for k in range(leading)], "h").withColumn("part", F.spark_partition_id())
     ordered = stored(ordered.select("part", "size", "id", "copies", "vector", "place"), "grid-order")
     last = ordered.agg(F.max("part").alias("p")).first()["p"] + 1
     # one tile holds one length only, so that its vectors form a matrix
@@ -209,17 +213,19 @@ def near_duplicates(embeddings: DataFrame, vec_id: str = "vec_id", vector: str =
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
-def _places(axes: np.ndarray):
-    """UDF: a vector's place in the principal dimensions; zeros for vectors of another length than these are for."""
+def _places(axes: dict[int, np.ndarray], leading: int):
+    """UDF: a vector's place on the axes of its length, filled up with zeros; a length without axes takes its first components."""
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def place(vectors: pa.Array) -> pa.Array:
         rows = vectors.to_pylist()
         sizes = np.array([len(x) for x in rows])
-        found = np.zeros((len(rows), axes.shape[1]))
-        whole = np.flatnonzero(sizes == len(axes))
-        if len(whole):
-            found[whole] = unit(np.array([rows[i] for i in whole], np.float64)) @ axes
+        found = np.zeros((len(rows), leading))
+        for d in np.unique(sizes).tolist():
+            here = np.flatnonzero(sizes == d)
+            units = unit(np.array([rows[i] for i in here], np.float64))
+            projected = units @ axes[d] if d in axes else units[:, :leading]
+            found[here, : projected.shape[1]] = projected
         return pa.array(found.tolist(), pa.list_(pa.float64()))
 
     return place

@@ -59,6 +59,22 @@ def test_given_embeddings(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in found)
 
 
+@pytest.mark.parametrize("axes", [True, False])
+def test_tiles_stay_small(spark, monkeypatch, axes):
+    """Beside one longer vector, and where all vectors have one place."""
+    from stockloom.llm import op7_embeddings
+
+    rng = np.random.default_rng(8)
+    rows = [(i, [0.0] * 4 + rng.normal(size=4).tolist()) for i in range(120)] + [(1000, [1.0] * 9)]
+    if not axes:
+        monkeypatch.setattr(op7_embeddings, "SAMPLE_VALUES", 0)  # the first components, which are zero
+    seen = []
+    pairs = op7_embeddings.tile_pairs
+    monkeypatch.setattr(op7_embeddings, "tile_pairs", lambda tiles, *rest: seen.append(tiles) or pairs(tiles, *rest))
+    check(spark, rows, tile=40)
+    assert max(r["count"] for r in seen[0].groupBy("tile").count().collect()) <= 80
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, size=(200, 2))] + [(1000 + i, 1001 + i) for i in range(60)]
