@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stockloom.llm import op4_packing, op5_quality, op6_lines, op8_jaccard, op10_language
 from stockloom.llm.common import stored, table
 
-QUALITY, LANGUAGE_SCORE = 0.5, 0.3
+QUALITY, LANGUAGE_SCORE, KNOWN = 0.5, 0.3, 0.5
 BROADCAST_ROWS = 1_000_000
 
 
@@ -23,10 +23,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised with a score of at least ``LANGUAGE_SCORE``."""
+    """Documents whose language is recognised with a score of at least ``LANGUAGE_SCORE`` and known in it to ``KNOWN``.
+
+    The score compares the learned languages with each other only; what is known of a text (words, long n-grams) tells other
+    languages and noise. A text that the model learned from under a wrong label is known by its own words.
+    """
     model = op10_language.fitted(docs.where(~op10_language.held_out()))
-    rows = op10_language.predicted(docs.select(F.struct("*").alias("_row"), "text"), model)
-    return rows.where((F.col("lang_pred") != op10_language.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE)).select("_row.*")
+    rows = op10_language.predicted(docs.select(F.struct("*").alias("_row"), "text"), model, known="known")
+    sure = (F.col("lang_pred") != op10_language.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE) & (F.col("known") >= KNOWN)
+    return rows.where(sure).select("_row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

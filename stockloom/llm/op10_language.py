@@ -53,7 +53,7 @@ class Model:
         seen: dict[int, dict[str, int]] = {n: {} for n in range(GRAM + 1)}
         for _, n, s, _ in counts:
             seen[n].setdefault(s, len(seen[n]))
-        self.index, self.table = seen, {}
+        self.index, self.table, self.met = seen, {}, {}
         for n, index in seen.items():
             found = np.zeros((len(index), len(self.languages)))
             for lang, k, s, c in counts:
@@ -62,6 +62,7 @@ class Model:
             sums = [size.get((lang, n), (0, 0)) for lang in self.languages]
             total = np.array([t + 0.5 * (kinds + 1) for t, kinds in sums])
             self.table[n] = np.log((found + 0.5) / total) if len(index) else found
+            self.met[n] = found > 0
 
 
 class Identifier:
@@ -70,9 +71,14 @@ class Identifier:
     def __init__(self, model: Model) -> None:
         self.model = model
         self.rows: dict[str, int] = {}
-        self.sums = np.zeros((1024, len(model.languages) + 1))
+        self.sums = np.zeros((1024, 2 * len(model.languages) + 1))
 
     def identify(self, texts: pa.Array) -> Iterator[tuple[str, float]]:
+        return ((lang, score) for lang, score, _ in self.assess(texts))
+
+    def assess(self, texts: pa.Array) -> Iterator[tuple[str, float, float]]:
+        """Language, share of the likelihood, and how much of the text is known in that language: the mean over its words of
+        1 for a word seen there, else the share of its n-grams of the largest length seen there."""
         pieces = pc.utf8_split_whitespace(texts)
         offsets = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
         coded = pieces.flatten().dictionary_encode()
@@ -93,22 +99,31 @@ class Identifier:
         filled = np.flatnonzero(np.diff(offsets))
         if len(filled):
             totals[filled] = np.add.reduceat(each, offsets[filled], axis=0)
-        for *total, n in totals.tolist():
+        width = len(self.model.languages)
+        for row in totals.tolist():
+            total, n, known = row[:width], row[width], row[width + 1 :]
             if not n or not total:
-                yield UNKNOWN, 0.0
+                yield UNKNOWN, 0.0, 0.0
                 continue
-            best = max(range(len(total)), key=total.__getitem__)
+            best = max(range(width), key=total.__getitem__)
             scale = min(n, 20.0) / n
-            yield self.model.languages[best], float(1 / np.exp((np.array(total) - total[best]) * scale).sum())
+            yield self.model.languages[best], float(1 / np.exp((np.array(total) - total[best]) * scale).sum()), known[best] / n
 
     def _sums(self, chunks: list[str]) -> np.ndarray:
         words = [words_of(c) for c in chunks]
         distinct = list({w for found in words for w in found})
         rows = {w: i for i, w in enumerate(distinct)}
-        scores = np.zeros((len(distinct), len(self.model.languages)))
+        width = len(self.model.languages)
+        scores, known = np.zeros((len(distinct), width)), np.zeros((len(distinct), width))
+        longest, met = self.model.index[GRAM], self.model.met
         parts: dict[int, tuple[list[int], list[int], list[int]]] = {n: ([], [], []) for n in range(GRAM + 1)}
         for i, w in enumerate(distinct):
             whole = self.model.index[0].get(w)
+            if grams := grams_of(w, GRAM):
+                if hit := [r for g in grams if (r := longest.get(g)) is not None]:
+                    known[i] = met[GRAM][hit].sum(axis=0) / len(grams)
+            if whole is not None:
+                known[i] = np.maximum(known[i], met[0][whole])
             if whole is not None:
                 scores[i] = self.model.table[0][whole]
                 continue
@@ -127,8 +142,10 @@ class Identifier:
         out = np.zeros((len(chunks), self.sums.shape[1]))
         for i, found in enumerate(words):
             if found:
-                out[i, :-1] = scores[[rows[w] for w in found]].sum(axis=0) if len(found) > 1 else scores[rows[found[0]]]
-                out[i, -1] = len(found)
+                at = [rows[w] for w in found]
+                out[i, :width] = scores[at].sum(axis=0) if len(at) > 1 else scores[at[0]]
+                out[i, width] = len(found)
+                out[i, width + 1 :] = known[at].sum(axis=0) if len(at) > 1 else known[at[0]]
         return out
 
 
@@ -178,27 +195,28 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def language_udf(spark: SparkSession, model: Model):
-    """UDF: text to struct(lang, score)."""
+    """UDF: text to struct(lang, score, known)."""
     shared = spark.sparkContext.broadcast(Identifier(model))
 
-    @F.arrow_udf(T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())]))
+    @F.arrow_udf(T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("known", T.DoubleType())]))
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            found = [x for run in slices(batch, SLICE) for x in shared.value.identify(run)]
-            yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], ["lang", "score"])
+            found = [x for run in slices(batch, SLICE) for x in shared.value.assess(run)]
+            yield pa.StructArray.from_arrays([pa.array([x for x, _, _ in found], pa.string()), pa.array([s for _, s, _ in found], pa.float64()), pa.array([k for _, _, k in found], pa.float64())], ["lang", "score", "known"])
 
     return predict
 
 
-def predicted(docs: DataFrame, model: Model, text: str | Column = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
+def predicted(docs: DataFrame, model: Model, text: str | Column = "text", lang: str = "lang_pred", score: str = "score", known: str | None = None) -> DataFrame:
     """``docs`` with the predicted language and its share of the likelihood (0 to 1).
 
     ``und`` with score 0 for null, empty or letterless text, and for every text if the model has seen no labelled row.
     Ties go to the language that comes first in the alphabet. All columns and rows are kept; columns named as the new ones
-    are replaced.
+    are replaced. ``known`` names a column for the known share of the text (0 to 1), which doesn't depend on the number of
+    languages learned.
     """
     found = language_udf(docs.sparkSession, model)(text)
-    return docs.withColumn("_found", found).withColumns({lang: F.col("_found.lang"), score: F.col("_found.score")}).drop("_found")
+    return docs.withColumn("_found", found).withColumns({lang: F.col("_found.lang"), score: F.col("_found.score")} | ({known: F.col("_found.known")} if known else {})).drop("_found")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -42,3 +42,18 @@ def test_clashing_columns(spark):
         out = stage(spark, docs, folder)
         assert out.columns == docs.columns
         assert all((r.log_odds, r.score, r.h, r.n, r.lang_pred) == (1, 2, "x", 3, "y") for r in out.collect())
+
+
+def test_foreign_and_noise_are_rejected(spark):
+    import random
+
+    rnd = random.Random(1)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    noise = " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(1, 9))) for _ in range(200))
+    foreign = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä."
+    planted = spark.createDataFrame([(-1, noise, None), (-2, foreign, None)], docs.schema)
+    for learned in (["en"], ["en", "de"], ["en", "de", "es", "fr"]):
+        some = docs.where(docs.lang.isin(learned))
+        left = {r.doc_id for r in corpus_pipeline.language(spark, some.union(planted), "").collect()}
+        assert not left & {-1, -2}
+        assert some.where(~some.doc_id.isin(*left)).where("size(split(text, ' ')) > 4").count() == 0
