@@ -13,6 +13,7 @@ from stockloom.llm.common import stored, table
 
 QUALITY, LANGUAGE_SCORE, KNOWN = 0.5, 0.3, 0.5
 BROADCAST_ROWS = 1_000_000
+ROW_KEY = "_row_key"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +42,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group that is alike in 80 % of its five-word shingles."""
-    groups = op8_jaccard.linked(docs)
-    copies = stored(groups.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
+    """One row of each group that is alike in 80 % of its five-word shingles: the one with the smallest id.
+
+    Rows are told apart by a key of their own, so repeated rows are copies of each other, and rows that share an id but
+    not their text stand for themselves. Null ids come last; of equal ids one row stays.
+    """
+    rows = stored(docs.withColumn(ROW_KEY, F.monotonically_increasing_id()), "keyed")
+    groups = op8_jaccard.linked(rows, ROW_KEY).select(F.col("doc_id").alias(ROW_KEY), F.col("component_id").alias("group"))
+    others = stored(groups.where(F.col("group") != F.col(ROW_KEY)), "group-members")
+    members = others.union(others.select("group", "group").distinct()).join(rows.select(ROW_KEY, "doc_id"), ROW_KEY)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW_KEY))[ROW_KEY]
+    survivors = members.groupBy("group").agg(first.alias(ROW_KEY)).select(ROW_KEY)
+    copies = stored(members.select(ROW_KEY).join(survivors, ROW_KEY, "left_anti"), "copies")
     if copies.count() <= BROADCAST_ROWS:
         copies = F.broadcast(copies)
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return rows.join(copies, ROW_KEY, "left_anti").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

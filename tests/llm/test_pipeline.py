@@ -44,6 +44,16 @@ def test_clashing_columns(spark):
         assert all((r.log_odds, r.score, r.h, r.n, r.lang_pred) == (1, 2, "x", 3, "y") for r in out.collect())
 
 
+def test_copies_are_told_apart_by_row(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(1, a), (1, a), (2, a), (2, b), (None, c), (None, c), (None, d), (7, d), (5, d), (5, d + " more"), (8, None), (8, None), (None, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, source string").repartition(3)
+    found = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert found.columns == docs.columns
+    left = sorted(((r.doc_id, (r.text or "-")[0]) for r in found.collect()), key=str)
+    assert left == sorted([(1, "a"), (2, "b"), (None, "c"), (5, "d"), (8, "-"), (8, "-"), (None, "-")], key=str)
+
+
 def test_foreign_and_noise_are_rejected(spark):
     import random
 
