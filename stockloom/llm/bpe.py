@@ -23,7 +23,7 @@ from stockloom.shipping import ship_with_tasks
 
 SHORT = 48
 NEVER = np.int32(2**31 - 1)
-CACHED = 400_000  # encodings a Python worker keeps of each kind; what comes later is encoded anew for each slice of texts
+CACHED = 120_000  # encodings a Python worker keeps of each kind; what comes later is encoded anew for each slice of texts
 
 
 def byte_letters() -> dict[str, int]:
@@ -177,7 +177,7 @@ def gathered(base: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.
     return out, ends
 
 
-def slices(texts: pa.Array, most: int = 8_000_000) -> Iterator[pa.Array]:
+def slices(texts: pa.Array, most: int = 4_000_000) -> Iterator[pa.Array]:
     """Runs of texts of about ``most`` bytes in all, nulls as empty texts; a longer text is a run of its own."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     start = 0
@@ -204,7 +204,7 @@ def uncollected() -> Iterator[None]:
 class WordEncoder:
     """Ids of words and of chunks (words that stand together), remembered from batch to batch and task to task.
 
-    An encoder is broadcast; a reused Python worker keeps its broadcast values, and with them what has been learned.
+    An encoder is shared with the workers; a reused worker keeps it, and with it what has been learned.
     """
 
     def __init__(self, source: str) -> None:

@@ -24,11 +24,11 @@ from pyspark.sql.window import Window
 
 from stockloom.llm.bpe import slices, uncollected
 from stockloom.llm.common import table
-from stockloom.shipping import ship_with_tasks
+from stockloom.shipping import share, ship_with_tasks
 
 MAX_DOCS, MAX_WORDS, MAX_GRAMS, GRAM = 20_000, 30_000, 20_000, 4
 UNKNOWN = "und"
-CACHED, SLICE = 300_000, 4_000_000
+CACHED, SLICE = 100_000, 4_000_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -196,12 +196,13 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def language_udf(spark: SparkSession, model: Model):
     """UDF: text to struct(lang, score, known)."""
-    shared = spark.sparkContext.broadcast(Identifier(model))
+    shared = share(spark.sparkContext, Identifier(model))
 
     @F.arrow_udf(T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("known", T.DoubleType())]))
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        identifier = shared()
         for batch in batches:
-            found = [x for run in slices(batch, SLICE) for x in shared.value.assess(run)]
+            found = [x for run in slices(batch, SLICE) for x in identifier.assess(run)]
             yield pa.StructArray.from_arrays([pa.array([x for x, _, _ in found], pa.string()), pa.array([s for _, s, _ in found], pa.float64()), pa.array([k for _, _, k in found], pa.float64())], ["lang", "score", "known"])
 
     return predict

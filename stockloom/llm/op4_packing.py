@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stockloom.llm.bpe import BLANK, WordEncoder, slices, spread
 from stockloom.llm.common import table
-from stockloom.shipping import ship_with_tasks
+from stockloom.shipping import share, ship_with_tasks
 
 MAX_TOKENS, MAX_SEGMENTS, END = 2048, 256, 1
 WINDOW_ITEMS, WINDOW_TOKENS = 1024, 4_000_000
@@ -176,11 +176,11 @@ def pack_texts(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", tex
     their own; other columns are left out; an empty table gives no pieces.
     """
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(WordIds(Path(tokenizer_file).read_text()))
+    model = share(spark.sparkContext, WordIds(Path(tokenizer_file).read_text()))
     column = ("ids", pa.list_(pa.int32())) if output == "ids" else ("ids_crc32", pa.int64())
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = model.value
+        encoder = model()
         packer = Packer(max_tokens, max_segments, max_tokens, True, _number(0))
 
         def examples():
@@ -244,7 +244,7 @@ def _batches(examples: Iterator[tuple], packer: Packer, column: tuple[str, pa.Da
     for piece in pieces():
         held.append(piece)
         size += len(piece[2])
-        if size >= 1_000_000 or len(held) >= 10_000:
+        if size >= 250_000 or len(held) >= 10_000:
             yield out()
             held, size = [], 0
     if held:

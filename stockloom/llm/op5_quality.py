@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockloom.llm.common import stored, table, text_of
-from stockloom.shipping import ship_with_tasks
+from stockloom.shipping import share, ship_with_tasks
 
 MAX_LABELS = 20_000
 BROADCAST_ROWS = 200_000  # of posteriors; more are joined by a shuffle
@@ -108,11 +108,11 @@ def fitted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
 
 def log_odds_udf(spark: SparkSession, model: Logistic):
     """UDF: text to the log odds of being good."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = share(spark.sparkContext, model)
 
     @F.arrow_udf(T.DoubleType())
     def log_odds(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kinds, model = byte_kinds(), shared.value
+        kinds, model = byte_kinds(), shared()
         for batch in batches:
             rows = [properties(batch[i].as_py() or "", kinds) for i in range(len(batch))]
             out = np.full(len(rows), WITHOUT_WORDS)

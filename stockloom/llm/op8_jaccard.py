@@ -28,13 +28,13 @@ from pyspark.sql import functions as F
 from stockloom.llm.bpe import slices, uncollected
 from stockloom.llm.common import stored, table
 from stockloom.llm.links import components
-from stockloom.shipping import ship_with_tasks
+from stockloom.shipping import share, ship_with_tasks
 
 WORDS, SIMILARITY = 5, (80, 100)
 MISSED = 1e-12
 TILE, LEAF, BUNDLE = 512, 16, 2000
 BROADCAST_ROWS = 1_000_000
-CACHED, SLICE = 300_000, 6_000_000  # words a Python worker keeps; bytes of text worked on at a time
+CACHED, SLICE = 100_000, 4_000_000  # words a Python worker keeps; bytes of text worked on at a time
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -251,14 +251,14 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     spark = docs.sparkSession
     fraction = Fraction(*similarity)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    shingles = spark.sparkContext.broadcast(Shingles(words))
+    shingles = share(spark.sparkContext, Shingles(words))
 
     def summarised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        regions, seen = Regions(fraction), set()
+        regions, seen, found = Regions(fraction), set(), shingles()
         for batch in batches:
             sizes, ids, keys = [], [], []
             for run in slices(batch.column(1), SLICE):
-                for tokens in shingles.value.sets(run):
+                for tokens in found.sets(run):
                     sizes.append(len(tokens))
                     ids.append(_identity(tokens) if len(tokens) else None)
                     new = len(tokens) and ids[-1] not in seen
@@ -270,9 +270,10 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), lists], ["doc_id", "n", "sid", "keys"])
 
     def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = shingles()
         for batch in batches:
             for run in slices(batch.column(0), SLICE):
-                found = [t for t in shingles.value.sets(run) if len(t)]
+                found = [t for t in hashed.sets(run) if len(t)]
                 yield pa.RecordBatch.from_arrays([pa.array([_identity(t) for t in found], pa.int64()), pa.array([len(t) for t in found], pa.int64()), pa.array([t.tobytes() for t in found], pa.binary())], ["sid", "n", "tokens"])
 
     known = stored(rows.mapInArrow(summarised, "doc_id bigint, n bigint, sid bigint, keys array<bigint>"), "shingle-keys")

@@ -1,7 +1,7 @@
 """Encoding and decoding by byte-level BPE with a contiguous rank array (see ``bpe``).
 
 The model (a few MB, its size fixed by the vocabulary) is read once on the driver and broadcast. Each row is encoded in
-the task that reads it; nothing is shuffled, and a task holds one Arrow batch, worked on in slices of about 8 MB of text.
+the task that reads it; nothing is shuffled, and a task holds one Arrow batch, worked on in slices of about 4 MB of text.
 """
 
 from __future__ import annotations
@@ -17,17 +17,18 @@ from pyspark.sql import functions as F
 
 from stockloom.llm.bpe import TextEncoder, gathered, slices
 from stockloom.llm.common import table
-from stockloom.shipping import ship_with_tasks
+from stockloom.shipping import share, ship_with_tasks
 
 
 def encode_udf(spark: SparkSession, tokenizer_file: str):
     """UDF: text to its ids; null for null."""
-    model = spark.sparkContext.broadcast(TextEncoder(Path(tokenizer_file).read_text()))
+    model = share(spark.sparkContext, TextEncoder(Path(tokenizer_file).read_text()))
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = model()
         for batch in batches:
-            runs = [model.value.encode(run) for run in slices(batch)]
+            runs = [encoder.encode(run) for run in slices(batch)]
             sizes = np.concatenate([np.zeros(0, np.int64), *[np.diff(ends) for _, ends in runs]])
             values = pa.array(np.concatenate([np.zeros(0, "<i4"), *[flat.view("<i4") for flat, _ in runs]]))
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
@@ -39,12 +40,13 @@ def encode_udf(spark: SparkSession, tokenizer_file: str):
 
 def decode_udf(spark: SparkSession, tokenizer_file: str):
     """UDF: ids to their text, special tokens included; bytes that are no UTF-8 become U+FFFD; null for null."""
-    model = spark.sparkContext.broadcast(Pieces(TextEncoder(Path(tokenizer_file).read_text())))
+    model = share(spark.sparkContext, Pieces(TextEncoder(Path(tokenizer_file).read_text())))
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pieces = model()
         for batch in batches:
-            yield pa.array([None if x is None else model.value.text(np.array(x, np.int64)) for x in (batch[i].as_py() for i in range(len(batch)))], pa.string())
+            yield pa.array([None if x is None else pieces.text(np.array(x, np.int64)) for x in (batch[i].as_py() for i in range(len(batch)))], pa.string())
 
     return decode
 
@@ -63,11 +65,11 @@ class Pieces:
 
 def digest_udf(spark: SparkSession, tokenizer_file: str):
     """UDF: text to the number of its ids, their digest, and the digest of the text decoded from them. Null is empty."""
-    model = spark.sparkContext.broadcast(Pieces(TextEncoder(Path(tokenizer_file).read_text())))
+    model = share(spark.sparkContext, Pieces(TextEncoder(Path(tokenizer_file).read_text())))
 
     @F.arrow_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = model.value
+        pieces = model()
         for batch in batches:
             counts, ids_digest, text_digest = [], [], []
             for run in slices(batch):
