@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockloom.functions.banding import DEFAULTS
-from stockloom.functions.columns import rounded
-from stockloom.sources.durable import durable, ensure_checkpoint_dir
+from stockloom.functions.columns import rounded, safe_divide
+from stockloom.functions.quantiles import range_parts
+from stockloom.operators.boosting import LOGISTIC, BoostedTrees, fit_boosted_trees
+from stockloom.sources.durable import durable
 
 # Model inputs, in order.
 FEATURES = [
@@ -44,40 +41,29 @@ def order_features(orders: DataFrame, suppliers: DataFrame, skus: DataFrame) ->
 
 
 def in_holdout(key: str, label: str, share: float, seed: int) -> Column:
-    """Repeatable hold-out by the hash of key and class, so each class loses the same share of its rows."""
-    return F.pmod(F.xxhash64(F.lit(seed), F.col(label), F.col(key)), F.lit(1_000_000)) < int(share * 1_000_000)
+    """Repeatable hold-out by the MD5 sum of key and class, so each class loses the same share of its rows."""
+    text = F.concat_ws("|", F.lit(str(seed)), F.col(label).cast("string"), F.col(key).cast("string"))
+    number = F.conv(F.left(F.md5(text.cast("binary")), F.lit(8)), 16, 10).cast("bigint")
+    return number < F.lit(int(share * (1 << 32)))
 
 
 @dataclass
 class RiskResult:
-    model: PipelineModel
+    model: BoostedTrees
     metrics: DataFrame
     importance: DataFrame
     scored: DataFrame
     supplier_risk: DataFrame
 
 
-def _pipeline(rounds: int, depth: int, step: float, seed: int) -> Pipeline:
-    """Ordinal codes in alphabetical order, unknown values as -1, then boosted trees."""
-    kinds = ["region_of_origin", "category"]
-    codes = ["region_code", "category_code"]
-    indexer = StringIndexer(inputCols=kinds, outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="keep")
-    assembler = VectorAssembler(inputCols=[f"x_{f}" for f in FEATURES], outputCol="features")
-    booster = GBTClassifier(
-        featuresCol="features",
-        labelCol="is_late",
-        maxIter=rounds,
-        maxDepth=depth,
-        stepSize=step,
-        checkpointInterval=10,
-        seed=seed,
-    )
-    return Pipeline(stages=[indexer, assembler, booster])
-
+def encoded(df: DataFrame, column: str, code: str) -> DataFrame:
+    """``df`` with the place of a value among all values in alphabetical order; -1 for a missing one.
 
-def _inputs(df: DataFrame) -> DataFrame:
-    numeric = [f for f in FEATURES if not f.endswith("_enc")]
-    return df.withColumns({f"x_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric})
+    The distinct values (regions, categories) are few; they are ranked by themselves and joined back.
+    """
+    kinds = df.select(F.col(column).alias("kind")).where("kind is not null").distinct()
+    ranked = kinds.select("kind", (F.row_number().over(Window.orderBy("kind")) - 1).cast("double").alias(code))
+    return df.join(ranked, F.col(column) == F.col("kind"), "left").drop("kind").withColumn(code, F.coalesce(code, F.lit(-1.0)))
 
 
 def train_delivery_risk(
@@ -90,57 +76,44 @@ def train_delivery_risk(
     holdout: float = 0.25,
     seed: int = 42,
 ) -> RiskResult:
-    """Classifier, hold-out metrics, feature importance, scored orders and the risk by supplier."""
+    """Classifier, hold-out metrics, feature importance, scored orders and the risk by supplier, from one fit."""
     spark = orders.sparkSession
-    ensure_checkpoint_dir(spark)
-    frame = durable(_inputs(order_features(orders, suppliers, skus)), "order-features")
-    held = in_holdout("po_id", "is_late", holdout, seed)
-
-    indexer, assembler, booster = _pipeline(rounds, depth, step, seed).getStages()
-    codes = indexer.fit(frame)
-    unknown = {c: len(labels) for c, labels in zip(indexer.getOutputCols(), codes.labelsArray)}
-    remap = SQLTransformer(
-        statement="SELECT *, "
-        + ", ".join(
-            f"IF({c} = {n}, -1.0D, {c}) AS x_{c.replace('_code', '_enc')}" for c, n in unknown.items()
-        )
-        + " FROM __THIS__"
-    )
-    prepare = PipelineModel([codes, remap, assembler])
-    prepared = prepare.transform(frame)
-    fitted = booster.fit(prepared.where(~held).select("features", "is_late"))
-    model = PipelineModel([*prepare.stages, fitted])
-
-    scored = durable(
-        fitted.transform(prepared).select(
-            *[c for c in frame.columns if not c.startswith("x_")],
-            vector_to_array("probability")[1].alias("late_risk_score"),
-            held.alias("in_holdout"),
-        ),
-        "order-risk",
+    features = order_features(orders, suppliers, skus)
+    features = encoded(encoded(features, "region_of_origin", "region_enc"), "category", "category_enc")
+    frame = durable(features.withColumn("in_holdout", in_holdout("po_id", "is_late", holdout, seed)), "order-features")
+    model = fit_boosted_trees(
+        frame.where(~F.col("in_holdout")), FEATURES, "is_late", LOGISTIC, rounds, step, 1 << depth, depth, l2=0.0, min_leaf=1
     )
-    auc = holdout_auc(scored)
+    scored = durable(model.score(frame, "late_risk_score").drop("region_enc", "category_enc"), "order-risk")
     metrics = scored.agg(
-        F.lit(auc).cast("double").alias("auc"),
         F.count_if(~F.col("in_holdout")).alias("n_train"),
         F.count_if("in_holdout").alias("n_test"),
         rounded(F.avg("is_late"), 4).alias("base_late_rate"),
-    )
+    ).crossJoin(holdout_auc(scored))
     importance = spark.createDataFrame(
-        [(f, float(v)) for f, v in zip(FEATURES, fitted.featureImportances.toArray())],
-        "feature string, importance double",
+        list(zip(FEATURES, model.importance(), strict=True)), "feature string, importance double"
     ).orderBy(F.col("importance").desc(), "feature")
-    return RiskResult(model, metrics, importance, scored, supplier_risk(scored))
-
-
-def holdout_auc(scored: DataFrame) -> float | None:
-    """Area under the ROC curve on the hold-out over all distinct scores, NULL when it has one class only."""
-    test = scored.where("in_holdout")
-    classes = test.agg(F.countDistinct("is_late").alias("n")).first()["n"]
-    if classes < 2:
-        return None
-    evaluator = BinaryClassificationEvaluator(rawPredictionCol="late_risk_score", labelCol="is_late", numBins=0)
-    return round(evaluator.evaluate(test), 4)
+    return RiskResult(model, metrics.select("auc", "n_train", "n_test", "base_late_rate"), importance, scored, supplier_risk(scored))
+
+
+def holdout_auc(scored: DataFrame) -> DataFrame:
+    """One row, ``auc``: area under the ROC curve on the hold-out (4 decimals), NULL when it has one class only.
+
+    By rank sums: a score counts for each late order the punctual ones below it, and half of those beside it. Orders are
+    added up by score, the scores are spread over the tasks in their order, and only one total of each task is ordered
+    centrally.
+    """
+    late, punctual = F.sum("is_late"), F.sum(1 - F.col("is_late"))
+    by_score = scored.where("in_holdout").groupBy(F.lit(0).alias("g"), F.col("late_risk_score").alias("v")).agg(late.alias("late"), punctual.alias("punctual"))
+    counts = durable(range_parts(by_score, "g", "v"), "score-counts")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = counts.groupBy("part").agg(F.sum("punctual").alias("inside"))
+    parts = parts.select("part", F.coalesce(F.sum("inside").over(before), F.lit(0)).alias("offset"))
+    upto = F.col("offset") + F.sum("punctual").over(Window.partitionBy("part").orderBy("v"))
+    below = F.col("late") * (upto - F.col("punctual") / 2)
+    ranked = counts.join(parts, "part").select("late", "punctual", below.alias("below"))
+    pairs = F.sum("late").cast("double") * F.sum("punctual")
+    return ranked.agg(rounded(safe_divide(F.sum("below"), pairs), 4).alias("auc"))
 
 
 def supplier_risk(scored: DataFrame) -> DataFrame:

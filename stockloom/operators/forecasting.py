@@ -6,17 +6,14 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.functions import accuracy
 from stockloom.functions.columns import rounded, safe_divide
+from stockloom.operators.boosting import BoostedTrees, fit_boosted_trees
 from stockloom.operators.panel import SERIES
 from stockloom.shipping import ship_with_tasks
-from stockloom.sources.durable import durable, ensure_checkpoint_dir
 
 ship_with_tasks(__name__)
 
@@ -145,44 +142,21 @@ def forecast_exponential_smoothing(panel: DataFrame, test_weeks: int = 8, grid=N
 # --- boosted trees ----------------------------------------------------------------------------------------------
 
 
-def _model_frame(df: DataFrame) -> DataFrame:
-    inputs = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"x_{c}") for c in FEATURES]
-    return df.select("*", *inputs).withColumn("label", F.greatest(F.col("units_sold").cast("double"), F.lit(0.0)))
+def train_demand_model(train: DataFrame, **settings) -> BoostedTrees:
+    """Boosted regression trees on the panel features, by default 300 trees of 27 leaves with at least 15 rows each.
 
-
-def train_demand_model(
-    train: DataFrame, rounds: int = 300, step: float = 0.04, depth: int = 5, min_leaf: int = 15, seed: int = 42
-) -> PipelineModel:
-    """Boosted regression trees on the panel features. ``train`` comes from :func:`add_series_mean`.
-
-    Boosting re-reads its input every round, so the prepared rows are written once and the running predictions are
-    checkpointed; a lost executor costs neither the panel nor the rounds done so far.
+    ``train`` comes from :func:`add_series_mean`; missing features count as 0, negative demand as none.
     """
-    ensure_checkpoint_dir(train.sparkSession)
-    frame = durable(_model_frame(train).select("label", *[f"x_{c}" for c in FEATURES]), "demand-train")
-    booster = GBTRegressor(
-        featuresCol="features",
-        labelCol="label",
-        predictionCol="raw_forecast",
-        maxIter=rounds,
-        stepSize=step,
-        maxDepth=depth,
-        minInstancesPerNode=min_leaf,
-        checkpointInterval=10,
-        seed=seed,
-    )
-    assembler = VectorAssembler(inputCols=[f"x_{c}" for c in FEATURES], outputCol="features")
-    return Pipeline(stages=[assembler, booster]).fit(frame)
+    frame = train.withColumn("units_sold", F.greatest(F.col("units_sold").cast("double"), F.lit(0.0)))
+    return fit_boosted_trees(frame, FEATURES, "units_sold", **settings)
 
 
-def forecast_with_model(model: PipelineModel, test: DataFrame) -> DataFrame:
-    scored = model.transform(_model_frame(test))
-    return scored.withColumn("forecast_units", F.greatest(F.col("raw_forecast"), F.lit(0.0))).select(
-        *test.columns, "forecast_units"
-    )
+def forecast_with_model(model: BoostedTrees, test: DataFrame) -> DataFrame:
+    scored = model.score(test, "forecast_units")
+    return scored.withColumn("forecast_units", F.greatest(F.col("forecast_units"), F.lit(0.0)))
 
 
-def forecast_boosted_trees(train: DataFrame, test: DataFrame, **settings) -> tuple[PipelineModel, DataFrame]:
+def forecast_boosted_trees(train: DataFrame, test: DataFrame, **settings) -> tuple[BoostedTrees, DataFrame]:
     train, test = add_series_mean(train, test)
     model = train_demand_model(train, **settings)
     return model, forecast_with_model(model, test)

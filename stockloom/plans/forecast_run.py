@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from stockloom.operators import forecasting
+from stockloom.operators.boosting import BoostedTrees
 from stockloom.operators.panel import split_train_test, weekly_demand_panel
 from stockloom.operators.reconciliation import reconcile
 from stockloom.sources.durable import durable
@@ -23,7 +23,7 @@ class ForecastRun:
     comparison: DataFrame
     improvement: DataFrame
     reconciliation: DataFrame
-    model: PipelineModel
+    model: BoostedTrees
 
 
 def run_forecasts(

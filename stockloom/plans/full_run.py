@@ -13,7 +13,7 @@ from stockloom.operators import promotions, quality
 from stockloom.plans.forecast_run import run_forecasts
 from stockloom.plans.warehouse import build_warehouse, layer_row_counts
 from stockloom.sources.durable import durable
-from stockloom.sources.tables import export_datasets, save_model, write_summary
+from stockloom.sources.tables import export_datasets, write_summary
 
 
 def sales_export(sales: DataFrame, skus: DataFrame, stores: DataFrame) -> DataFrame:
@@ -136,8 +136,8 @@ def run_all(
         ),
     }
     export_datasets(samples, f"{folder}/samples", fmt)
-    save_model(forecasts.model, f"{folder}/models/demand")
-    save_model(risk.model, f"{folder}/models/delivery_risk")
+    forecasts.model.save(spark, f"{folder}/models/demand")
+    risk.model.save(spark, f"{folder}/models/delivery_risk")
 
     metrics = forecasts.improvement.select(
         "*",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,12 +83,8 @@ def export_datasets(datasets: Mapping[str, DataFrame], folder: str, fmt: str = "
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
-    """The one-row run summary as nested JSON."""
-    summary.write.mode("overwrite").json(path)
-
-
-def save_model(model: MLWritable, path: str) -> None:
-    model.write().overwrite().save(path)
+    """The one-row run summary as nested JSON, in one file."""
+    summary.coalesce(1).write.mode("overwrite").json(path)
 
 
 def read_service_levels(spark: SparkSession, path: str) -> DataFrame:

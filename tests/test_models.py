@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import day, one, rows
 from stockloom.operators import anomalies, delivery_risk, isolation
+from stockloom.operators.boosting import BoostedTrees
 
 IDS, FEATURES = ["i"], ["x", "y"]
 
@@ -124,17 +125,31 @@ def test_delivery_risk_model(spark, tmp_path):
     queue = rows(delivery_risk.risk_review_queue(result.scored))
     assert all(r["late_risk_score"] > 0.3 for r in queue)
 
-    from pyspark.ml import PipelineModel
+    result.model.save(spark, str(tmp_path / "m"))
+    back = BoostedTrees.load(spark.newSession(), str(tmp_path / "m"), delivery_risk.FEATURES)
+    assert back.trees == result.model.trees and back.base == result.model.base
 
-    from stockloom.sources.tables import save_model
 
-    save_model(result.model, str(tmp_path / "m"))
-    assert len(PipelineModel.load(str(tmp_path / "m")).stages) == 4
+def test_auc_by_rank_sums(spark):
+    rng = np.random.default_rng(8)
+    late = rng.integers(0, 2, 500)
+    score = np.round(rng.random(500) * 0.7 + 0.3 * late, 2)  # with ties
+    df = spark.createDataFrame([(int(a), float(s), i % 5 > 0) for i, (a, s) in enumerate(zip(late, score, strict=True))], "is_late int, late_risk_score double, in_holdout boolean")
+    held = np.arange(500) % 5 > 0
+    a, b = score[held & (late == 1)], score[held & (late == 0)]
+    pairs = (a[:, None] > b).mean() + 0.5 * (a[:, None] == b).mean()
+    assert one(delivery_risk.holdout_auc(df.repartition(7)))["auc"] == pytest.approx(pairs, abs=5e-5)
+    assert one(delivery_risk.holdout_auc(df.limit(0)))["auc"] is None
+
+
+def test_encoding_is_alphabetical(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",), ("c",), ("b",)], "kind_of string")
+    assert sorted((r.kind_of or "", r.code) for r in delivery_risk.encoded(df, "kind_of", "code").collect()) == [("", -1.0), ("a", 0.0), ("b", 1.0), ("b", 1.0), ("c", 2.0)]
 
 
 def test_single_class_has_no_auc(spark):
     df = spark.createDataFrame([(1, 0.5, True), (1, 0.6, True)], "is_late int, late_risk_score double, in_holdout boolean")
-    assert delivery_risk.holdout_auc(df) is None
+    assert one(delivery_risk.holdout_auc(df))["auc"] is None
 
 
 def test_task_code_travels_without_the_package():

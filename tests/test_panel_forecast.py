@@ -153,7 +153,7 @@ def test_boosted_trees_forecast_and_reconcile(spark, built):
     champion = champion.cache()
     assert champion.count() == test.count()
     assert one(champion.agg(F.min("forecast_units").alias("m")))["m"] >= 0
-    assert len(model.stages) == 2
+    assert len(model.trees) == 5
     baseline = forecasting.forecast_moving_average(test)
     smoothing = forecasting.forecast_exponential_smoothing(built, 4)
     out = {(r["method"], r["level"]): r for r in rows(reconciliation.reconcile(champion, smoothing, baseline))}

@@ -76,7 +76,7 @@ def test_full_run(spark, raw, tmp_path):
     assert len([d for d in os.listdir(tmp_path / "datasets")]) == 22
     assert set(os.listdir(tmp_path / "samples")) == {"supplier_scorecard", "inventory_health_summary"}
     assert set(os.listdir(tmp_path / "models")) == {"demand", "delivery_risk"}
-    part = [f for f in os.listdir(tmp_path / "run_summary") if f.endswith(".json")][0]
+    (part,) = [f for f in os.listdir(tmp_path / "run_summary") if f.endswith(".json")]
     summary = json.loads((tmp_path / "run_summary" / part).read_text())
     assert len(summary["rows"]) == 17 and len(summary["reconciliation"]) == 11
     assert "DQ-006" in summary["governance"]["data_quality_rules_failed"]
