@@ -23,12 +23,13 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from stockloom.llm.bpe import slices, uncollected
-from stockloom.llm.common import table
-from stockloom.shipping import share, ship_with_tasks
+from stockloom.llm.common import stored, table
+from stockloom.shipping import hand_back_memory, share, ship_with_tasks
 
 MAX_DOCS, MAX_WORDS, MAX_GRAMS, GRAM = 20_000, 30_000, 20_000, 4
 UNKNOWN = "und"
-CACHED, SLICE = 100_000, 4_000_000
+PARTS = 32
+CACHED, SLICE = 100_000, 2_000_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -159,15 +160,23 @@ def fitted(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     n = rows.count()
     if n > max_docs:
         rows = rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < F.lit(int(max_docs / n * (1 << 30))))
-    counts = rows.select("lang", "text").mapInArrow(_counts, "lang string, n int, s string, c bigint").groupBy("lang", "n", "s").agg(F.sum("c").alias("c"))
-    by_rank = Window.partitionBy("lang", "n").orderBy(F.desc("c"), "s")
-    ranked = counts.withColumn("rank", F.row_number().over(by_rank)).withColumn("total", F.sum("c").over(Window.partitionBy("lang", "n"))).withColumn("kinds", F.count("*").over(Window.partitionBy("lang", "n")))
-    kept = ranked.where(F.col("rank") <= F.when(F.col("n") == 0, max_words).otherwise(max_grams)).select("lang", "n", "s", "c", "total", "kinds").toArrow().to_pylist()
-    return Model([(r["lang"], r["n"], r["s"], r["c"]) for r in kept], list({(r["lang"], r["n"], r["total"], r["kinds"]) for r in kept}))
-
-
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words and n-grams in one task, by language; handed on whenever they have become many."""
+    words = rows.select("lang", "text").mapInArrow(_word_counts, "lang string, s string, c bigint").groupBy("lang", "s").agg(F.sum("c").alias("c"))
+    words = stored(words, "language-words")
+    grams = words.mapInArrow(_gram_counts, "lang string, n int, s string, c bigint").groupBy("lang", "n", "s").agg(F.sum("c").alias("c"))
+    counts = stored(words.select("lang", F.lit(0).alias("n"), "s", "c").unionByName(grams), "language-counts")
+    totals = counts.groupBy("lang", "n").agg(F.sum("c").alias("total"), F.count("*").alias("kinds")).toArrow().to_pylist()
+    # the most frequent of each part first, so that no task ranks all strings of a language
+    most = F.when(F.col("n") == 0, max_words).otherwise(max_grams)
+    order = [F.desc("c"), "s"]
+    part = Window.partitionBy("lang", "n", F.pmod(F.xxhash64("s"), F.lit(PARTS))).orderBy(*order)
+    best = counts.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= most)
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "n").orderBy(*order))).where(F.col("rank") <= most)
+    kept = best.select("lang", "n", "s", "c").toArrow().to_pylist()
+    return Model([(r["lang"], r["n"], r["s"], r["c"]) for r in kept], [(r["lang"], r["n"], r["total"], r["kinds"]) for r in totals])
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of words in one task, by language; handed on whenever they have become many."""
     counts: dict[str, Counter] = {}
 
     def out() -> pa.RecordBatch:
@@ -175,23 +184,33 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, chunks in counts.items():
             for chunk, c in chunks.items():
                 for w in words_of(chunk):
-                    words[lang, 0, w] += c
-        grams: Counter = Counter()
-        for (lang, _, w), c in words.items():
-            for n in range(1, GRAM + 1):
-                for g in grams_of(w, n):
-                    grams[lang, n, g] += c
-        rows = [*words.items(), *grams.items()]
+                    words[lang, w] += c
         counts.clear()
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.int32()), pa.array([k[2] for k, _ in rows], pa.string()), pa.array([c for _, c in rows], pa.int64())], ["lang", "n", "s", "c"])
+        rows = list(words.items())
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.string()), pa.array([c for _, c in rows], pa.int64())], ["lang", "s", "c"])
 
     for batch in batches:
         for i in range(batch.num_rows):
             counts.setdefault(batch.column(0)[i].as_py(), Counter()).update(batch.column(1)[i].as_py().split())
-            if sum(map(len, counts.values())) > 200_000:
+            if sum(map(len, counts.values())) > 100_000:
                 yield out()
     if counts:
         yield out()
+    hand_back_memory()
+
+
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the n-grams of words that are counted already."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 5000):
+            part, grams = batch.slice(start, 5000), Counter()
+            for lang, w, c in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
+                for n in range(1, GRAM + 1):
+                    for g in grams_of(w, n):
+                        grams[lang, n, g] += c
+            rows = list(grams.items())
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.int32()), pa.array([k[2] for k, _ in rows], pa.string()), pa.array([c for _, c in rows], pa.int64())], ["lang", "n", "s", "c"])
+    hand_back_memory()
 
 
 def language_udf(spark: SparkSession, model: Model):
@@ -204,6 +223,7 @@ def language_udf(spark: SparkSession, model: Model):
         for batch in batches:
             found = [x for run in slices(batch, SLICE) for x in identifier.assess(run)]
             yield pa.StructArray.from_arrays([pa.array([x for x, _, _ in found], pa.string()), pa.array([s for _, s, _ in found], pa.float64()), pa.array([k for _, _, k in found], pa.float64())], ["lang", "score", "known"])
+        hand_back_memory()
 
     return predict
 

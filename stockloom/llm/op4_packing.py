@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stockloom.llm.bpe import BLANK, WordEncoder, slices, spread
 from stockloom.llm.common import table
-from stockloom.shipping import share, ship_with_tasks
+from stockloom.shipping import hand_back_memory, share, ship_with_tasks
 
 MAX_TOKENS, MAX_SEGMENTS, END = 2048, 256, 1
 WINDOW_ITEMS, WINDOW_TOKENS = 1024, 4_000_000
@@ -192,6 +192,7 @@ def pack_texts(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", tex
                         yield next(keys), np.append(flat[start:end], np.uint32(end_id))
 
         yield from _batches(examples(), packer, column, pa.int64())
+        hand_back_memory()
 
     kind = docs.schema[doc_id].dataType.simpleString()
     if kind != "bigint":

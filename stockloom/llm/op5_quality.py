@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockloom.llm.common import stored, table, text_of
-from stockloom.shipping import share, ship_with_tasks
+from stockloom.shipping import hand_back_memory, share, ship_with_tasks
 
 MAX_LABELS = 20_000
 BROADCAST_ROWS = 200_000  # of posteriors; more are joined by a shuffle
@@ -120,6 +120,7 @@ def log_odds_udf(spark: SparkSession, model: Logistic):
             if with_words:
                 out[with_words] = model.log_odds(np.array([rows[i] for i in with_words]))
             yield pa.array(out)
+        hand_back_memory()
 
     return log_odds
 

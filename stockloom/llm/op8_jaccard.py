@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from stockloom.llm.bpe import slices, uncollected
 from stockloom.llm.common import stored, table
 from stockloom.llm.links import components
-from stockloom.shipping import share, ship_with_tasks
+from stockloom.shipping import hand_back_memory, share, ship_with_tasks
 
 WORDS, SIMILARITY = 5, (80, 100)
 MISSED = 1e-12
@@ -268,6 +268,7 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
             ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), lists], ["doc_id", "n", "sid", "keys"])
+        hand_back_memory()
 
     def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = shingles()
@@ -275,6 +276,7 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
             for run in slices(batch.column(0), SLICE):
                 found = [t for t in hashed.sets(run) if len(t)]
                 yield pa.RecordBatch.from_arrays([pa.array([_identity(t) for t in found], pa.int64()), pa.array([len(t) for t in found], pa.int64()), pa.array([t.tobytes() for t in found], pa.binary())], ["sid", "n", "tokens"])
+        hand_back_memory()
 
     known = stored(rows.mapInArrow(summarised, "doc_id bigint, n bigint, sid bigint, keys array<bigint>"), "shingle-keys")
     with_id = known.where("doc_id is not null and sid is not null")
