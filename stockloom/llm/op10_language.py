@@ -29,7 +29,7 @@ from stockloom.shipping import hand_back_memory, share, ship_with_tasks
 MAX_DOCS, MAX_WORDS, MAX_GRAMS, GRAM = 20_000, 30_000, 20_000, 4
 UNKNOWN = "und"
 PARTS = 32
-CACHED, SLICE = 100_000, 2_000_000
+CACHED, SLICE = 80_000, 1_000_000
 WORD = re.compile(r"[^\W\d_]+")
 
 

@@ -32,7 +32,7 @@ from stockloom.shipping import hand_back_memory, share, ship_with_tasks
 
 WORDS, SIMILARITY = 5, (80, 100)
 MISSED = 1e-12
-TILE, LEAF, BUNDLE = 512, 16, 2000
+TILE, TILE_TOKENS, LEAF, BUNDLE = 2048, 2_000_000, 16, 2000
 BROADCAST_ROWS = 1_000_000
 CACHED, SLICE = 100_000, 4_000_000  # words a Python worker keeps; bytes of text worked on at a time
 
@@ -285,14 +285,16 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     shared = stored(shared, "shared-keys")  # read again, so that a skewed join can be split
     candidates = meeting.join(shared.hint("shuffle_hash"), "key").where("sid <> low").select("sid", "low").distinct()
     groups = stored(components(candidates, "sid", "low").withColumnRenamed("node", "sid"), "set-groups")
-    firsts = with_id.join(groups, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    firsts = with_id.join(groups, "sid").groupBy("sid", "root").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
+    firsts = stored(firsts, "first-documents")
     wanted = stored(firsts.select("doc_id").distinct(), "group-documents")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     sets = rows.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(fetched, "sid bigint, n bigint, tokens binary")
-    sizes = groups.groupBy("root").agg(F.count("*").alias("members"))
+    # large tiles: each set of a group is copied once for each tile of the group
+    tiles = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_TOKENS)).alias("tiles")
     total = groups.count()
-    place = groups.join(sizes, "root").withColumn("tiles", F.ceil(F.col("members") / TILE)).withColumn("tile", F.pmod(F.xxhash64("sid"), F.col("tiles")))
+    place = groups.join(firsts.groupBy("root").agg(tiles), "root").withColumn("tile", F.pmod(F.xxhash64("sid"), F.col("tiles")))
     sets = sets.dropDuplicates(["sid"]).join(place, "sid")
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1))
     sets = sets.select("root", "tile", "tiles", "sid", "n", "tokens", other.alias("other"))

@@ -68,6 +68,18 @@ def test_large_group_of_near_copies(spark):
     assert len(found) == 1300 and {r.component_id for r in found} == {0}
 
 
+@pytest.mark.parametrize("tile, tokens", [(3, 10**9), (10**9, 60)])
+def test_groups_of_many_tiles(spark, monkeypatch, tile, tokens):
+    from stockloom.llm import op8_jaccard
+
+    monkeypatch.setattr(op8_jaccard, "TILE", tile)
+    monkeypatch.setattr(op8_jaccard, "TILE_TOKENS", tokens)
+    rnd = random.Random(4)
+    words = [rnd.choice("abcdefghij") + str(i) for i in range(30)]
+    rows = [(i, " ".join(w if rnd.random() > 0.03 else "x" for w in words)) for i in range(40)]
+    check(spark, rows, 3, (80, 100))
+
+
 def test_given_documents(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
