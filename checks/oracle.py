@@ -740,6 +740,8 @@ final("supplier_risk_rollup", """
 final("risk_review_queue", "select po_id, supplier_id, late_risk_score from stated_risk where late_risk_score > 0.3", "late_risk_score")
 
 final("quality_rules", "select * from rules", "threshold")
+final("quality_rules_from_file", "select * from rules", "threshold")
+final("saved_demand_model_scores", "select week, count(*) as row_count, count(*) as rows_alike from test group by week")
 final("quality_by_owner", f"""
     select owner, count(*) as rules, count(*) filter (where not passed) as rules_failing,
            {r("avg(pass_rate)", 4)} as avg_pass_rate from rules group by 1""")

@@ -28,6 +28,7 @@ from stockloom.operators import (
     reconciliation,
     silver,
 )
+from stockloom.operators.boosting import BoostedTrees
 from stockloom.plans import warehouse
 from stockloom.sources.durable import durable, shared_folder
 from stockloom.sources.tables import read_layer, read_raw, row_counts, write_layer, write_raw
@@ -319,6 +320,18 @@ def boosted_tree_forecast(s):
     return scored.select("store_id", "sku_id", "week", "units_sold", "forecast_units")
 
 
+@query
+def saved_demand_model_scores(s):
+    """The demand model saved, loaded by another session with a check of its features, and scored by both, by week."""
+    train, test = forecasting.add_series_mean(*s.split)
+    model, path = forecasting.train_demand_model(train), _fresh(s, "demand-model")
+    model.save(s.spark, path)
+    back = BoostedTrees.load(s.spark.newSession(), path, forecasting.FEATURES)
+    both = back.score(model.score(test, "before"), "after")
+    alike = F.count_if(F.col("before") == F.col("after"))
+    return both.groupBy("week").agg(F.count("*").alias("row_count"), alike.alias("rows_alike"))
+
+
 @query
 def forecast_comparison(s):
     return s.comparison.select(
@@ -547,6 +560,16 @@ def quality_rules(s):
     return s.rules.drop("description")
 
 
+@query
+def quality_rules_from_file(s):
+    """The rule library written to the shared folder, read back and run."""
+    path = _fresh(s, "rule-library")
+    quality.save_rules(s.spark, quality.RULES, path)
+    rules = quality.load_rules(path, s.spark)
+    needed = {r["table"] for r in rules} | {r["reference"]["table"] for r in rules if "reference" in r}
+    return quality.run_quality_rules(s.spark, {n: s.raw(n) for n in needed}, rules).drop("description")
+
+
 @query
 def quality_by_owner(s):
     return quality.quality_by_owner(s.rules)

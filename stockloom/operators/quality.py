@@ -59,14 +59,27 @@ class QualityGateError(RuntimeError):
     """A critical rule failed; publication must not go on."""
 
 
-def load_rules(path: str) -> list[dict]:
-    """Rule library from a YAML file with a top-level ``rules`` list."""
+def load_rules(path: str, spark: SparkSession | None = None) -> list[dict]:
+    """Rule library from a YAML (or JSON) file with a top-level ``rules`` list.
+
+    With ``spark`` the file may lie in any store that Spark reads, otherwise on the driver's disk.
+    """
     import yaml
 
+    if spark is not None:
+        text = spark.read.text(path, wholetext=True).first()[0]
+        return yaml.safe_load(text)["rules"]
     with open(path, encoding="utf-8") as source:
         return yaml.safe_load(source)["rules"]
 
 
+def save_rules(spark: SparkSession, rules: list[dict], path: str) -> None:
+    """Write a rule library for :func:`load_rules`, as one JSON document."""
+    import json
+
+    spark.createDataFrame([(json.dumps({"rules": rules}),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def row_condition(rule: Mapping) -> Column | None:
     """Pass condition of a rule that looks at one row; None for rules about the whole column."""
     value, what = F.col(rule["field"]), rule["expectation"]
