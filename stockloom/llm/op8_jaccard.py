@@ -9,8 +9,8 @@ with a chance below 10^-12. Sets that meet, directly or by others, form a group.
 Inside a group the trees work: sets sorted by size are the leaves, every node holds the range of the sizes and the bitmaps
 of the tokens that any and that all of its sets have. Two trees are traversed together, and a pair of nodes is left out if
 its largest possible overlap is too small for a link. What is left is compared exactly, unless it is known to be connected.
-Groups are cut into tiles of bounded size, and each pair of tiles is a task's work, which gives a spanning forest of its
-links and not the pairs.
+The upper nodes of a large group are its classes of size, cut into tiles of bounded size. A class meets itself and the next
+one, as the overlap of all others is too small; each pair of tiles is a task's work, which gives a spanning forest of its links.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stockloom.llm.bpe import slices, uncollected
@@ -32,6 +32,8 @@ from stockloom.shipping import hand_back_memory, share, ship_with_tasks
 
 WORDS, SIMILARITY = 5, (80, 100)
 MISSED = 1e-12
+WIDTH = 2  # steps of the largest ratio of two linked sizes in a class of the regions
+CELL = 1 << 40  # tiles of a class of size are numbered from its multiple of this
 TILE, TILE_TOKENS, LEAF, BUNDLE = 2048, 2_000_000, 16, 2000
 BROADCAST_ROWS = 1_000_000
 CACHED, SLICE = 100_000, 4_000_000  # words a Python worker keeps; bytes of text worked on at a time
@@ -88,8 +90,8 @@ class Shingles:
 
 
 class Regions:
-    """Keys on which similar sets agree. Sizes fall in classes; a set has keys of its own class and of the next one, and
-    two sets of which the larger is in class k meet in class k."""
+    """Keys on which similar sets agree. Sizes fall in classes; a set has keys of its own class and of the next one if its
+    links reach that far, and two sets of which the larger is in class k meet in class k."""
 
     def __init__(self, similarity: Fraction) -> None:
         self.similarity = similarity
@@ -101,13 +103,13 @@ class Regions:
 
     def keys(self, tokens: np.ndarray) -> np.ndarray:
         n = len(tokens)
-        own = int(math.floor(math.log(n) / math.log(self.ratio) + 1e-9))
-        found = [self._class(tokens, k) for k in (own, own + 1)]
-        return np.concatenate(found)
+        place = math.log(n) / math.log(self.ratio)
+        classes = {int(math.floor(p / WIDTH + 1e-9)) for p in (place, place + 1)}
+        return np.concatenate([self._class(tokens, k) for k in sorted(classes)])
 
     def _class(self, tokens: np.ndarray, k: int) -> np.ndarray:
         n = len(tokens)
-        most = math.ceil(self.ratio ** (k + 1) + 1e-6)
+        most = math.ceil(self.ratio ** (WIDTH * (k + 1)) + 1e-6)
         differences = math.floor(self.apart * most + 1e-9)
         if not differences:
             return np.zeros(0, np.uint64)  # only equal sets link
@@ -211,7 +213,7 @@ def _joined(similarity: tuple[int, int]):
     def join(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
         root, tile, sid = (rows.column(c).to_numpy() for c in ("root", "tile", "sid"))
-        tokens = rows.column("tokens")
+        tokens, within = rows.column("tokens"), rows.column("within").to_pylist()
         sizes = rows.column("n").to_numpy()
         u: list[int] = []
         v: list[int] = []
@@ -223,9 +225,9 @@ def _joined(similarity: tuple[int, int]):
             ids = sid[members]
             ends = [0, *(np.flatnonzero(np.diff(tile[members])) + 1).tolist(), len(members)]
             trees = [work.tree(s, e) for s, e in zip(ends, ends[1:], strict=False)]
-            if len(trees) == 1:
+            if len(trees) == 1 or within[members[0]]:
                 work.join(trees[0], trees[0])
-            elif trees:
+            if len(trees) > 1:
                 work.join(trees[0], trees[1])
             u += ids[[i for i, _ in work.forest]].tolist()
             v += ids[[j for _, j in work.forest]].tolist()
@@ -239,6 +241,12 @@ def _identity(tokens: np.ndarray) -> int:
     return int(mixed(np.array([total], np.uint64) + np.uint64(len(tokens)))[0].astype(np.int64))
 
 
+def _tiles(count: str, by: int) -> Column:
+    """The tiles of the class of size that is ``by`` away, of which there are ``count``."""
+    numbers = F.filter(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col(count) - 1, F.lit(0))), lambda i: i < F.col(count))
+    return F.transform(numbers, lambda i: (F.col("class") + by) * CELL + i)
+
+
 def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (the smallest id reachable by links) of every row.
 
@@ -291,17 +299,38 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     sets = rows.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(fetched, "sid bigint, n bigint, tokens binary")
-    # large tiles: each set of a group is copied once for each tile of the group
-    tiles = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_TOKENS)).alias("tiles")
     total = groups.count()
-    place = groups.join(firsts.groupBy("root").agg(tiles), "root").withColumn("tile", F.pmod(F.xxhash64("sid"), F.col("tiles")))
+    step = F.floor(F.log("n") / math.log(1 / fraction) + 1e-9)
+    placed = firsts.select("sid", "root", step.alias("class"))
+    classes = firsts.groupBy("root", step.alias("class")).agg(F.count("*").alias("sets"), F.sum("n").alias("tokens"))
+    classes = classes.select("*", F.greatest(F.ceil(F.col("sets") / TILE), F.ceil(F.col("tokens") / TILE_TOKENS)).alias("parts"))
+    group = Window.partitionBy("root")  # a row for each class of size, some dozens
+    alone = (F.sum("sets").over(group) <= TILE) & (F.sum("tokens").over(group) <= TILE_TOKENS)
+    near = Window.partitionBy("root").orderBy("class")
+    beside = [F.when(other("class").over(near) == F.col("class") + by, other("parts").over(near)).otherwise(0) for other, by in ((F.lag, -1), (F.lead, 1))]
+    classes = classes.select("root", "class", "parts", alone.alias("alone"), beside[0].alias("below"), beside[1].alias("above"))
+    place = placed.join(classes, ["root", "class"]).withColumn("tile", F.col("class") * CELL + F.pmod(F.xxhash64("sid"), F.col("parts")))
     sets = sets.dropDuplicates(["sid"]).join(place, "sid")
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1))
-    sets = sets.select("root", "tile", "tiles", "sid", "n", "tokens", other.alias("other"))
+    # a tile meets the other tiles of its class and those of the classes beside; it meets itself where it meets the first tile
+    # of the class above, or alone if there is none
+    meets = F.concat(_tiles("below", -1), _tiles("parts", 0), _tiles("above", 1))
+    meets = F.filter(meets, lambda cell: (cell != F.col("tile")) | (F.col("above") == 0))
+    sets = sets.select("root", "tile", "alone", "sid", "n", "tokens", F.explode(F.when(F.col("alone"), F.array(F.lit(-1).cast("bigint"))).otherwise(meets)).alias("other"))
     # groups of one tile travel in bundles
     bundle = F.pmod(F.xxhash64("root"), F.lit(total // BUNDLE + 1))
-    alone = F.col("tiles") == 1
-    sets = sets.select("root", "tile", "sid", "n", "tokens", F.when(alone, -1).otherwise(F.least("tile", "other")).alias("x"), F.when(alone, -1).otherwise(F.greatest("tile", "other")).alias("y"), F.when(alone, bundle).otherwise(F.col("root")).alias("owner"))
+    low, high = F.least("tile", "other"), F.greatest("tile", "other")
+    within = (high % CELL == 0) & (F.floor(high / CELL) == F.floor(low / CELL) + 1)
+    sets = sets.select(
+        "root",
+        "sid",
+        "n",
+        "tokens",
+        F.when(F.col("alone"), 0).otherwise(F.col("tile")).alias("tile"),
+        F.when(F.col("alone"), False).otherwise(within).alias("within"),
+        F.when(F.col("alone"), -1).otherwise(low).alias("x"),
+        F.when(F.col("alone"), -1).otherwise(high).alias("y"),
+        F.when(F.col("alone"), bundle).otherwise(F.col("root")).alias("owner"),
+    )
     links = stored(sets.groupBy("owner", "x", "y").applyInArrow(_joined(similarity), "a bigint, b bigint"), "set-links")
     roots = components(links, "a", "b").withColumnRenamed("node", "sid")
     smallest = with_id.groupBy("sid").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))

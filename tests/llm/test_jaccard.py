@@ -80,6 +80,18 @@ def test_groups_of_many_tiles(spark, monkeypatch, tile, tokens):
     check(spark, rows, 3, (80, 100))
 
 
+@pytest.mark.parametrize("tile", [2, 5, 10**9])
+def test_chain_over_many_classes_of_size(spark, monkeypatch, tile):
+    """Prefixes of one text: each links with the next few only, and with sets of the class above."""
+    from stockloom.llm import op8_jaccard
+
+    monkeypatch.setattr(op8_jaccard, "TILE", tile)
+    words = [f"w{i}" for i in range(130)]
+    rows = [(n, " ".join(words[:n])) for n in (5, 8, 10, 11, 13, 16, 20, 24, 29, 35, 42, 52, 70, 84, 101, 120, 130)]
+    rows += [(1000 + i, " ".join([*words[:40], *(f"z{i}{j}" for j in range(60))])) for i in range(12)]
+    check(spark, rows, 3, (80, 100))
+
+
 def test_given_documents(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
