@@ -4,7 +4,8 @@ A page is cut into blocks at block elements. A linear classifier turns the place
 for content (positive) or boilerplate (negative); this becomes the capacity of the block's edge from the source or to the
 sink. Neighbours in page order and blocks under the same parent are tied by smoothness edges whose capacity falls with
 their distance in the element tree. The minimum cut is the labelling with the least total cost. Blocks whose evidence
-outweighs all their ties are settled first, which changes no minimum; augmenting paths settle the rest.
+outweighs all their ties are settled first, which changes no minimum; augmenting paths settle the rest. Evidence and ties are
+of the same order, so a block of weak evidence goes with its neighbours.
 """
 
 from __future__ import annotations
@@ -51,6 +52,9 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# log odds of the evidence and, of the same order, capacities of the ties
+LONG, BAD, GOOD, AWAY_ODDS, HOME_ODDS, OUTSIDE_ODDS = 60, 4.5, 1.0, 5.0, 1.5, 3.0
+NEXT, SIBLING = 3.0, 1.5
 SCALE = 1000  # capacities are whole numbers of thousandths
 
 
@@ -86,10 +90,10 @@ class Element:
             elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
                 self.away = True
         if words & BAD_WORDS:
-            self.evidence -= 3.0 if self.name in HOME and not words & {"comment", "comments", "reply"} else 9.0
+            self.evidence -= BAD / 3 if self.name in HOME and not words & {"comment", "comments", "reply"} else BAD
             self.section = self
         elif words & GOOD_WORDS:
-            self.evidence += 1.5
+            self.evidence += GOOD
 
 
 class Block:
@@ -164,25 +168,28 @@ def _leave(here: Element, names: set[str], stop: frozenset[str] | set[str] = BAR
     return here
 
 
-def evidence_of(block: Block, has_home: bool) -> float:
-    """The classifier: positive for content."""
+def home_share(blocks: list[Block]) -> float:
+    """Share of a page's prose, its words outside links and boilerplate elements, that lies in article or main elements."""
+    prose = [(b.words - b.linked if not b.element.away and b.element.evidence > -BAD / 2 else 0) for b in blocks]
+    return sum(w for w, b in zip(prose, blocks, strict=True) if b.element.home) / max(1, sum(prose))
+
+
+def evidence_of(block: Block, share: float) -> float:
+    """The classifier: log odds, positive for content. ``share`` says how far article elements tell where the prose is."""
     e = block.element
-    score = 0.8 * math.log1p(block.words) - 1.6 + e.evidence - 4.0 * block.linked / block.words
+    score = 0.8 * math.log1p(min(block.words, LONG)) - 1.6 + e.evidence - 4.0 * block.linked / block.words
     if e.away:
-        score -= 14.0
-    if e.home:
-        score += 3.5
-    elif has_home:
-        score -= 5.0
+        score -= AWAY_ODDS
+    score += HOME_ODDS * share if e.home else -OUTSIDE_ODDS * share
     if e.name in ("h1", "h2", "h3"):
         score += 0.8
     if not e.home and block.words < 40 and CUES.search(block.text):
-        score -= 3.0
+        score -= 2.0
     return score
 
 
 def tie(a: Element, b: Element, most: float) -> float:
-    """Capacity of the edge between blocks in two elements: halved with each level up to their common ancestor."""
+    """Capacity of the edge between blocks in two elements: a quarter for each level above two up to their common ancestor."""
     if a.section is not b.section:
         return 0.05
     steps = 0
@@ -192,14 +199,14 @@ def tie(a: Element, b: Element, most: float) -> float:
         else:
             b = b.parent
         steps += 1
-    return most * 0.5 ** max(0, steps - 2)
+    return most * 0.25 ** max(0, steps - 2)
 
 
 def labelled(blocks: list[Block]) -> list[bool]:
     """True for the content side of the minimum cut."""
     n = len(blocks)
-    has_home = any(b.element.home and not b.element.away for b in blocks)
-    pull = [round(SCALE * evidence_of(b, has_home)) for b in blocks]
+    share = home_share(blocks)
+    pull = [round(SCALE * evidence_of(b, share)) for b in blocks]
     ties: list[dict[int, int]] = [{} for _ in range(n)]
 
     def join(i: int, j: int, capacity: float) -> None:
@@ -210,10 +217,10 @@ def labelled(blocks: list[Block]) -> list[bool]:
     last: dict[int, int] = {}
     for i, b in enumerate(blocks):
         if i:
-            join(i - 1, i, tie(blocks[i - 1].element, b.element, 1.2))
+            join(i - 1, i, tie(blocks[i - 1].element, b.element, NEXT))
         parent = id(b.element.parent or b.element)
         if parent in last and last[parent] != i - 1:
-            join(last[parent], i, tie(blocks[last[parent]].element, b.element, 0.8))
+            join(last[parent], i, tie(blocks[last[parent]].element, b.element, SIBLING))
         last[parent] = i
     side: list[bool | None] = [None] * n
     total = [sum(t.values()) for t in ties]

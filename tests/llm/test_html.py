@@ -1,4 +1,4 @@
-from stockloom.llm.op1_html import blocks_of, extracted, labelled, main_text, op1_html_extraction
+from stockloom.llm.op1_html import blocks_of, evidence_of, extracted, home_share, labelled, main_text, op1_html_extraction
 
 
 def lowest_cost(pull, ties):
@@ -85,3 +85,42 @@ def test_unseen_elements_end():
     for icon in ("<svg class=icon/>", "<svg/>", '<svg class="a/b" d=\'x>y\' />', "<math display=block/>", "<svg><path d=a/>unseen</svg>", "<svg a=b/c>unseen</svg>"):
         assert main_text(f"<body>{icon}{article}") == wanted
     assert main_text(f"<video-player src=x></video-player><button-bar>{article}</button-bar>") == wanted
+
+
+LONG = "A body paragraph that goes on for a while and says a number of things about its subject in plain words."
+
+
+def labels_and_evidence(page):
+    blocks = blocks_of(page)
+    share = home_share(blocks)
+    return labelled(blocks), [evidence_of(b, share) >= 0 for b in blocks]
+
+
+def test_teaser_in_an_article_does_not_take_the_page():
+    page = f"<body><article class='card'><h3><a href=x>Related story one</a></h3><p>Teaser text of another story with several words.</p></article><div><p>{LONG} {LONG}</p><p>{LONG}</p></div>"
+    assert main_text(page) == f"{LONG} {LONG}\n{LONG}"
+    labels, alone = labels_and_evidence(page)
+    assert labels == [False, False, True, True] and alone == [False, True, True, True]  # the heading's tie takes the teaser
+
+
+def test_ties_decide_blocks_of_weak_evidence():
+    page = f"<div><p>{LONG}</p><p>Yes.</p><p>{LONG}</p></div><div><p><a href=a>One</a></p><p><a href=b>Two</a></p><p>More of these to read</p><p><a href=c>Three</a></p></div>"
+    labels, alone = labels_and_evidence(page)
+    assert labels == [True, True, True, False, False, False, False]
+    assert alone[1] is False
+
+
+def test_weak_evidence_without_ties_stands_alone(monkeypatch):
+    from stockloom.llm import op1_html
+
+    page = f"<div><p>{LONG}</p><p>Yes.</p><p>{LONG}</p></div>"
+    assert main_text(page) == f"{LONG}\nYes.\n{LONG}"
+    monkeypatch.setattr(op1_html, "NEXT", 0.0)
+    monkeypatch.setattr(op1_html, "SIBLING", 0.0)
+    assert main_text(page) == f"{LONG}\n{LONG}"
+
+
+def test_long_comments_and_asides_stay_out_of_a_short_article():
+    comment = f"<div class='comment'><p>{LONG} {LONG}</p></div>"
+    page = f"<main><h1>Head</h1><p>{LONG}</p><div id='comments'>{comment * 12}</div></main><aside><p>{LONG} {LONG}</p></aside><footer><p>{LONG}</p></footer>"
+    assert main_text(page) == f"Head\n{LONG}"
