@@ -218,6 +218,9 @@ def _joined(similarity: tuple[int, int]):
         u: list[int] = []
         v: list[int] = []
         order = np.lexsort([sid, sizes, tile, root])
+        again = np.zeros(len(order), bool)  # a set comes twice where its document's id does
+        again[1:] = np.logical_and.reduce([np.diff(column[order]) == 0 for column in (root, tile, sid)])
+        order = order[~again]
         cuts = np.flatnonzero(np.diff(root[order])) + 1
         for members in np.split(order, cuts):
             sets = [np.frombuffer(tokens[int(i)].as_py(), "<u8") for i in members]
@@ -310,7 +313,9 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     beside = [F.when(other("class").over(near) == F.col("class") + by, other("parts").over(near)).otherwise(0) for other, by in ((F.lag, -1), (F.lead, 1))]
     classes = classes.select("root", "class", "parts", alone.alias("alone"), beside[0].alias("below"), beside[1].alias("above"))
     place = placed.join(classes, ["root", "class"]).withColumn("tile", F.col("class") * CELL + F.pmod(F.xxhash64("sid"), F.col("parts")))
-    sets = sets.dropDuplicates(["sid"]).join(place, "sid")
+    if total <= BROADCAST_ROWS:
+        place = F.broadcast(place)  # the sets then move once, to their tiles
+    sets = sets.join(place, "sid")
     # a tile meets the other tiles of its class and those of the classes beside; it meets itself where it meets the first tile
     # of the class above, or alone if there is none
     meets = F.concat(_tiles("below", -1), _tiles("parts", 0), _tiles("above", 1))
