@@ -6,7 +6,7 @@ from stockloom.llm.op7_embeddings import near_duplicates, op7_embedding_join
 
 
 def brute_force(rows, threshold=0.95):
-    ok = [i for i, (k, v) in enumerate(rows) if k is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    ok = [i for i, (k, v) in enumerate(rows) if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     links = {i: set() for i in range(len(rows))}
     for i in ok:
         for j in ok:
@@ -23,7 +23,7 @@ def brute_force(rows, threshold=0.95):
             for j in links[todo.pop()] - seen:
                 seen.add(j)
                 todo.append(j)
-        out.append((k, len(links[i]), k if len(seen) == 1 else min(rows[j][0] for j in seen)))
+        out.append((k, len(links[i]), min((rows[j][0] for j in seen if rows[j][0] is not None), default=None)))
     return sorted(out, key=str)
 
 
@@ -47,10 +47,31 @@ def test_edge_cases(spark):
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]), (9, [1e200, 1e199]), (10, [1e-200, 0.0]), (11, [1.0, 0.0, 0.0]), (12, [1.0, 0.0, 0.1]), (None, [1.0, 0.0]), (13, [-1.0, 0.0])]
     check(spark, rows)
     assert near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+    check(spark, [(2, [1.0, 0.01]), (2, [0.0, 1.0]), (1, [1.0, 0.0]), (3, [0.01, 1.0])])
+    check(spark, [(None, [1.0, 0.0]), (None, [1.0, 0.01]), (None, [0.0, 1.0]), (4, [0.01, 1.0]), (None, None)])
     found = near_duplicates(spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<double>")).collect()
     assert all(r.kept and r.n_links == 0 and r.component_id == r.vec_id for r in found)
 
 
+def test_dense_groups_and_lengths(spark):
+    """A group in which all link, beside others of two lengths, over tiles that hold both lengths."""
+    rng = np.random.default_rng(3)
+    rows = [(i, (np.eye(20)[0] + rng.normal(size=20) * 0.01).tolist()) for i in range(150)]
+    rows += [(200 + i, rng.normal(size=20 if i % 3 else 3).tolist()) for i in range(300)]
+    check(spark, rows)
+    check(spark, rows, "float", tile=60)
+
+
+def test_few_pairs_are_compared():
+    from stockloom.llm import op7_embeddings
+
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(2000, 64))
+    work = op7_embeddings.Join(vectors, op7_embeddings.principal(op7_embeddings.unit(vectors[:500])), np.ones(2000, np.int64), 0.95)
+    work.join(range(2000), range(2000))
+    assert work.compared < 0.01 * 2000 * 1999 / 2 and not work.links.any()
+
+
 def test_given_embeddings(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
