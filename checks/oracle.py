@@ -515,6 +515,10 @@ STEPS["kpi_parts"] = """
                                 from r_inventory_snapshots join r_skus using (sku_id)
                                 where location_type = 'Store' group by 1)) as stock,
            (select avg(pass_rate) from rules) as dq, (select override_rate from override_totals) as override_rate"""
+STEPS["stated_auc"] = f"""
+    with scores as (select late_risk_score as v, sum(is_late) as late, count(*) - sum(is_late) as punctual from stated_risk group by 1),
+         ranked as (select late, punctual, sum(punctual) over (order by v) as upto from scores)
+    select {r("sum(late * (upto - punctual / 2.0::double)) / (sum(late)::double * sum(punctual)::double)", 4)} as auc from ranked"""
 STEPS["kpis"] = f"""
     select {r("stockout", 4)} as stockout_rate_baseline, {r("stockout * (1 - 0.2::double)", 4)} as stockout_rate_target,
            {r("excess", 4)} as excess_inventory_rate_baseline,
@@ -687,6 +691,7 @@ final("demand_statistics", "select * from demand", "demand_mean demand_std")
 final("reorder_recommendations", "select * from recs", RECS)
 final("reorder_recommendations_by_category", recommendations(
     "case when category in ('PROMO', 'SMALL') then 1.88::double else 1.28::double end", "unit_cost"), RECS)
+FINAL["reorder_recommendations_from_level_file"] = FINAL["reorder_recommendations_by_category"]
 final("scenario_summary", f"""
     select scenario, demand_shock_pct, lead_time_shock_pct, {r("avg(safety_stock_units)", 1)} as avg_safety_stock_units,
            {r("avg(reorder_point_units)", 1)} as avg_reorder_point_units,
@@ -791,8 +796,30 @@ final("monitoring_summary", """
            (select status from drift order by psi desc limit 1) as drift_status,
            (select case when avg(pass_rate) <= 0.93 then 'Critical' when avg(pass_rate) <= 0.97 then 'Warning' else 'Healthy' end
             from rules) as data_quality_status,
-           0.6::double as lead_time_risk_model_auc, (select count(*) from flagged) as open_inventory_anomalies""")
+           (select auc from stated_auc) as lead_time_risk_model_auc, (select count(*) from flagged) as open_inventory_anomalies,
+           0.2::double as wmape_warning, 0.28::double as wmape_critical, 0.1::double as psi_warning, 0.25::double as psi_critical,
+           0.97::double as dq_pass_rate_warning, 0.93::double as dq_pass_rate_critical,
+           0.2::double as late_delivery_rate_warning, 0.3::double as late_delivery_rate_critical""")
 final("business_kpis", "select * from kpis")
+final("business_kpis_with_targets", f"""
+    select kpis.*, b as forecast_wmape_baseline, a as forecast_wmape_advanced,
+           {r("(b - a) / b * 100", 2)} as forecast_accuracy_relative_improvement_pct,
+           0.1::double as target_stockout_rate_reduction_low, 0.2::double as target_stockout_rate_reduction_high,
+           0.08::double as target_excess_inventory_reduction_low, 0.15::double as target_excess_inventory_reduction_high,
+           0.1::double as target_forecast_accuracy_improvement, 0.05::double as target_inventory_turns_improvement,
+           0.2::double as target_manual_effort_reduction
+    from kpis, (select {r(wmape("units_sold", "forecast_units_baseline"), 4)} as b,
+                       {r(wmape("units_sold", "forecast_units_advanced"), 4)} as a from comparison) x""")
+final("stated_risk_auc", "select auc from stated_auc")
+final("stale_scenarios", """
+    select promo_id as scenario, start_date as run_date, (last_day - start_date)::int as age_days
+    from r_promotions, (select max(date) as last_day from r_daily_sales) d where last_day - start_date > 90""")
+final("critical_failures", "select id, pass_rate, threshold, rows_failed from rules where severity = 'critical' and not passed",
+      "pass_rate threshold")
+final("gold_layer_late_rows", """
+    select date_trunc('month', order_date)::date as load_month, count(*) as row_count,
+           sum(quantity_ordered)::double as ordered, sum(quantity_received)::double as received from g_orders group by 1""",
+      "ordered received")
 final("value_estimate", f"""
     select {r("annual_lost_sales_estimate_aud * 0.1::double", 2)} as recovered_sales_low,
            {r("annual_lost_sales_estimate_aud * 0.2::double", 2)} as recovered_sales_high,

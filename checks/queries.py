@@ -31,7 +31,7 @@ from stockloom.operators import (
 from stockloom.operators.boosting import BoostedTrees
 from stockloom.plans import warehouse
 from stockloom.sources.durable import durable, shared_folder
-from stockloom.sources.tables import read_layer, read_raw, row_counts, write_layer, write_raw
+from stockloom.sources.tables import merge_months, read_layer, read_raw, read_service_levels, row_counts, write_layer, write_raw
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -86,6 +86,24 @@ def gold_layer_by_month(s):
     return parts[0].unionByName(parts[1])
 
 
+@query
+def gold_layer_late_rows(s):
+    """Purchase orders loaded without a tenth of them, and with old versions of some in other months; then these merged in."""
+    folder = _fresh(s, "layer")
+    orders = durable(s.fact_orders, "orders")
+    part = F.pmod(F.xxhash64("po_id"), F.lit(20))
+    old = orders.where(part == 0).withColumn("order_date", F.date_sub("order_date", 40).cast(orders.schema["order_date"].dataType))
+    first = orders.where(part > 1).unionByName(old.withColumn("quantity_received", F.lit(0).cast(orders.schema["quantity_received"].dataType)))
+    write_layer({"fact_purchase_orders": first}, folder, "gold")
+    merge_months(orders.where(part <= 1), folder, "gold", "fact_purchase_orders", ["po_id"])
+    back = read_layer(s.spark, folder, "gold", ["fact_purchase_orders"])["fact_purchase_orders"]
+    return back.groupBy("load_month").agg(
+        F.count("*").alias("row_count"),
+        F.sum(F.col("quantity_ordered").cast("double")).alias("ordered"),
+        F.sum(F.col("quantity_received").cast("double")).alias("received"),
+    )
+
+
 @query
 def bronze_row_counts(s):
     return row_counts(s.all_raw(), "bronze")
@@ -393,6 +411,19 @@ def reorder_recommendations(s):
     return s.recommendations
 
 
+@query
+def reorder_recommendations_from_level_file(s):
+    """Service levels by category written as a CSV seed, read back with its schema and used for the recommendations."""
+    folder = _fresh(s, "service-levels")
+    high = F.col("category").isin("PROMO", "SMALL")
+    levels = s.raw("skus").select("category").distinct().withColumn("target_service_level", F.when(high, 0.97).otherwise(0.90))
+    levels.withColumn("rationale", F.lit("stated, in short")).write.option("header", True).csv(folder)
+    return inventory.reorder_recommendations(
+        s.demand_stats, s.raw("lead_times"), s.raw("skus"), holding_base="unit_cost",
+        category_z=stocking.category_z(read_service_levels(s.spark, folder)),
+    )
+
+
 @query
 def reorder_recommendations_by_category(s):
     """Service level by category and holding cost on the unit cost."""
@@ -552,6 +583,19 @@ def risk_review_queue(s):
     return delivery_risk.risk_review_queue(_stated_risk(s)).select("po_id", "supplier_id", "late_risk_score")
 
 
+@query
+def stated_risk_auc(s):
+    """Area under the curve of the stated score over all orders."""
+    return delivery_risk.holdout_auc(_stated_risk(s).withColumn("in_holdout", F.lit(True)))
+
+
+@query
+def stale_scenarios(s):
+    """Promotion plans taken as scenarios run on the day of their start, older than 90 days on the last day of sales."""
+    log = s.raw("promotions").select(F.col("promo_id").alias("scenario"), F.col("start_date").alias("run_date"))
+    return monitoring.stale_scenarios(log, s.raw("daily_sales").agg(F.max("date")).scalar())
+
+
 # --- quality ----------------------------------------------------------------------------------------------------
 
 
@@ -570,6 +614,12 @@ def quality_rules_from_file(s):
     return quality.run_quality_rules(s.spark, {n: s.raw(n) for n in needed}, rules).drop("description")
 
 
+@query
+def critical_failures(s):
+    """What stops the gate before gold is written."""
+    return quality.critical_failures(s.rules).select("id", "pass_rate", "threshold", "rows_failed")
+
+
 @query
 def quality_by_owner(s):
     return quality.quality_by_owner(s.rules)
@@ -642,10 +692,12 @@ def monitoring_summary(s):
     s.store("daily_sales")
     performance = durable(monitoring.weekly_forecast_performance(s.baseline), "performance")
     drift = durable(monitoring.demand_drift(s.saved_panel), "drift")
-    return monitoring.monitoring_summary(performance, drift, s.rules, 0.6, _stated_anomalies(s))
+    auc = delivery_risk.holdout_auc(_stated_risk(s).withColumn("in_holdout", F.lit(True))).scalar()
+    summary = monitoring.monitoring_summary(performance, drift, s.rules, auc, _stated_anomalies(s))
+    return summary.select("*", "thresholds.*").drop("thresholds")
 
 
-def _kpis(s: Star) -> DataFrame:
+def _kpis(s: Star, improvement: DataFrame | None = None) -> DataFrame:
     s.store("daily_sales")
     return kpis.business_kpis(
         s.raw("daily_sales"),
@@ -654,6 +706,7 @@ def _kpis(s: Star) -> DataFrame:
         s.raw("skus"),
         s.rules,
         quality.override_summary(s.raw("replenishment_decisions")),
+        improvement,
     )
 
 
@@ -662,7 +715,15 @@ def business_kpis(s):
     names = [
         "forecast_wmape_baseline", "forecast_wmape_advanced", "forecast_accuracy_relative_improvement_pct",
     ]
-    return _kpis(s).drop(*names)
+    return _kpis(s).drop(*names, "targets")
+
+
+@query
+def business_kpis_with_targets(s):
+    """All KPIs, those of the forecasts included, and the targets they are held against."""
+    s.store("daily_sales")
+    row = _kpis(s, durable(forecasting.relative_improvement(s.comparison), "improvement"))
+    return row.select("*", *[F.col(f"targets.{n}").alias(f"target_{n}") for n in kpis.PUBLISHED_TARGETS]).drop("targets")
 
 
 @query

@@ -27,6 +27,15 @@ class Targets:
 
 
 TARGETS = Targets()
+PUBLISHED_TARGETS = (
+    "stockout_rate_reduction_low",
+    "stockout_rate_reduction_high",
+    "excess_inventory_reduction_low",
+    "excess_inventory_reduction_high",
+    "forecast_accuracy_improvement",
+    "inventory_turns_improvement",
+    "manual_effort_reduction",
+)
 
 
 def _one(df: DataFrame, **columns: Column) -> Column:
@@ -137,6 +146,7 @@ def business_kpis(
         rounded("cogs", 0).alias("annualised_cogs_estimate_aud"),
         rounded("lost", 0).alias("annual_lost_sales_estimate_aud"),
         rounded("inventory_value", 2).alias("mean_inventory_value_aud"),
+        F.struct(*[F.lit(float(getattr(targets, n))).alias(n) for n in PUBLISHED_TARGETS]).alias("targets"),
     )
 
 

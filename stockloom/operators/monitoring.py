@@ -150,10 +150,30 @@ def supplier_delivery_status(lead_times: DataFrame, thresholds: Thresholds = DEF
     return lead_times.withColumn("late_rate", late).withColumn("status", late_rate_status("late_rate", thresholds))
 
 
+def alert_bounds(t: Thresholds = DEFAULTS) -> Column:
+    """The bounds of the status bands as one struct, under their published names (fixed)."""
+    bounds = {
+        "wmape_warning": t.wmape_warning,
+        "wmape_critical": t.wmape_critical,
+        "psi_warning": t.psi_warning,
+        "psi_critical": t.psi_critical,
+        "dq_pass_rate_warning": t.dq_warning,
+        "dq_pass_rate_critical": t.dq_critical,
+        "late_delivery_rate_warning": t.late_warning,
+        "late_delivery_rate_critical": t.late_critical,
+    }
+    return F.struct(*[F.lit(float(v)).alias(n) for n, v in bounds.items()])
+
+
 def monitoring_summary(
-    performance: DataFrame, drift: DataFrame, quality: DataFrame, auc: Column | float | None, anomalies: DataFrame
+    performance: DataFrame,
+    drift: DataFrame,
+    quality: DataFrame,
+    auc: Column | float | None,
+    anomalies: DataFrame,
+    thresholds: Thresholds = DEFAULTS,
 ) -> DataFrame:
-    """One row with the newest forecast error, the worst drift, quality band, model AUC and open anomalies.
+    """One row with the newest forecast error, worst drift, quality band, model AUC, open anomalies and the alert bounds.
 
     Every input is reduced to a scalar of its own, so nothing is joined.
     """
@@ -171,6 +191,7 @@ def monitoring_summary(
         dq.alias("data_quality_status"),
         (auc if isinstance(auc, Column) else F.lit(auc)).cast("double").alias("lead_time_risk_model_auc"),
         count.alias("open_inventory_anomalies"),
+        alert_bounds(thresholds).alias("thresholds"),
     )
 
 

@@ -182,9 +182,14 @@ def run_quality_rules(spark: SparkSession, tables: Mapping[str, DataFrame], rule
     )
 
 
+def critical_failures(results: DataFrame) -> DataFrame:
+    """The critical rules that failed."""
+    return results.where((F.col("severity") == "critical") & ~F.col("passed"))
+
+
 def quality_gate(results: DataFrame) -> None:
     """Stop when a critical rule failed. Only rule ids reach the driver."""
-    failed = [r["id"] for r in results.where((F.col("severity") == "critical") & ~F.col("passed")).select("id").collect()]
+    failed = [r["id"] for r in critical_failures(results).select("id").collect()]
     if failed:
         raise QualityGateError(f"critical data-quality rules failed: {', '.join(sorted(failed))}")
 

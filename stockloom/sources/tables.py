@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockloom.functions.columns import month_start
+from stockloom.sources.durable import drop_folder, durable
 from stockloom.sources.schemas import PARTITION_DATES, RAW_SCHEMAS, SERVICE_LEVEL_SCHEMA
 
 MONTH = "load_month"
@@ -57,6 +58,42 @@ def write_layer(tables: Mapping[str, DataFrame], folder: str, layer: str) -> Non
             out.write.mode("overwrite").partitionBy(MONTH).parquet(path)
 
 
+def replace_months(df: DataFrame, folder: str, layer: str, name: str) -> None:
+    """Write a fact so that only the months ``df`` has rows in are replaced; all other month folders stay as they are."""
+    out = df.withColumn(MONTH, month_start(PARTITION_DATES[name])).hint("rebalance", F.col(MONTH))
+    path = f"{folder.rstrip('/')}/{layer}/{name}"
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+
+
+def merge_months(df: DataFrame, folder: str, layer: str, name: str, keys: list[str]) -> None:
+    """Merge late or corrected rows into a written fact: a row takes the place of the stored rows with its keys.
+
+    Months are rewritten only if they get a row or lose one, as a correction may move a row to another month. The keys are
+    looked up in all months, whole rows are read from the touched ones only. The touched months (as many as the calendar
+    has) are all that reaches the driver. Rows with a null in their keys replace nothing. Rows of ``df`` that share
+    their keys all stay. The merged months are written aside before they replace the old ones.
+    """
+    spark = df.sparkSession
+    path = f"{folder.rstrip('/')}/{layer}/{name}"
+    stored = spark.read.parquet(path)
+    late = durable(df.select(*[c for c in stored.columns if c != MONTH]), f"late-{name}".replace("_", "-"))
+    new = late.withColumn(MONTH, month_start(PARTITION_DATES[name]))
+    replaced = stored.select(*keys, MONTH).join(late.select(*keys).distinct(), keys, "left_semi")
+    touched = [r[MONTH] for r in new.select(MONTH).union(replaced.select(MONTH)).distinct().collect()]
+    here = F.col(MONTH).isin([m for m in touched if m is not None])
+    if None in touched:
+        here = here | F.col(MONTH).isNull()
+    kept = stored.where(here).join(late.select(*keys).distinct(), keys, "left_anti")
+    merged = durable(kept.drop(MONTH).unionByName(late), f"merged-{name}".replace("_", "-"))
+    replace_months(merged, folder, layer, name)
+    filled = {r[MONTH] for r in merged.select(month_start(PARTITION_DATES[name]).alias(MONTH)).distinct().collect()}
+    for month in set(touched) - filled:
+        drop_folder(spark, f"{path}/{MONTH}={'__HIVE_DEFAULT_PARTITION__' if month is None else month}")
+    for written in (late, merged):
+        for file in written.inputFiles()[:1]:
+            drop_folder(spark, file.rsplit("/", 1)[0])
+
+
 def read_layer(spark: SparkSession, folder: str, layer: str, names: Iterable[str]) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{folder.rstrip('/')}/{layer}/{n}") for n in names}
 

@@ -170,3 +170,43 @@ def test_newest_days_skip_month_folders(spark, tmp_path, what):
     plan = found._jdf.queryExecution().sparkPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert scans and all("load_month" in line.partition("PartitionFilters: [")[2].partition("]")[0] for line in scans)
+
+
+def test_late_rows_replace_their_months_only(spark, tmp_path):
+    import datetime
+    import os
+
+    from stockloom.sources.tables import merge_months, read_layer, replace_months, write_layer
+
+    schema = "po_id string, order_date date, quantity_ordered long"
+
+    def rows(*given):
+        return spark.createDataFrame([(k, datetime.date.fromisoformat(d) if d else None, q) for k, d, q in given], schema)
+
+    def state():
+        back = read_layer(spark, str(tmp_path), "gold", ["fact_purchase_orders"])["fact_purchase_orders"]
+        return sorted(((r.po_id, str(r.order_date), r.quantity_ordered) for r in back.collect()), key=str)
+
+    def files():
+        base = tmp_path / "gold" / "fact_purchase_orders"
+        return {p.name: sorted(f for f in os.listdir(p) if f.endswith(".parquet")) for p in base.iterdir() if p.is_dir()}
+
+    first = rows(("a", "2024-01-05", 1), ("b", "2024-01-06", 2), ("c", "2024-02-01", 3), ("d", "2024-03-01", 4), (None, "2024-03-02", 5), ("n", None, 6))
+    write_layer({"fact_purchase_orders": first}, str(tmp_path), "gold")
+    before = files()
+    # a correction in January, c moves to April and leaves February empty; the null key replaces nothing
+    late = rows(("b", "2024-01-07", 20), ("c", "2024-04-01", 30), (None, "2024-04-02", 50))
+    merge_months(late, str(tmp_path), "gold", "fact_purchase_orders", ["po_id"])
+    after = files()
+    want = [("a", "2024-01-05", 1), ("b", "2024-01-07", 20), ("c", "2024-04-01", 30), ("d", "2024-03-01", 4), (None, "2024-03-02", 5), (None, "2024-04-02", 50), ("n", "None", 6)]
+    assert state() == sorted(want, key=str)
+    changed = {m for m in before.keys() | after.keys() if before.get(m) != after.get(m)}
+    assert changed == {"load_month=2024-01-01", "load_month=2024-02-01", "load_month=2024-04-01"}
+    merge_months(late.where("po_id is not null"), str(tmp_path), "gold", "fact_purchase_orders", ["po_id"])
+    assert state() == sorted(want, key=str)
+    merge_months(rows(("n", "2024-03-03", 7)), str(tmp_path), "gold", "fact_purchase_orders", ["po_id"])
+    assert ("n", "2024-03-03", 7) in state() and "load_month=__HIVE_DEFAULT_PARTITION__" not in files()
+    merge_months(rows(), str(tmp_path), "gold", "fact_purchase_orders", ["po_id"])
+    assert len(state()) == 7
+    replace_months(rows(("e", "2024-01-01", 9)), str(tmp_path), "gold", "fact_purchase_orders")
+    assert [x for x in state() if x[1].startswith("2024-01")] == [("e", "2024-01-01", 9)] and len(state()) == 6

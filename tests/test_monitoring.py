@@ -112,6 +112,10 @@ def test_monitoring_summary(spark):
     assert got == {
         "latest_weekly_wmape": 0.45, "forecast_status": "Critical", "max_feature_psi": 0.29, "drift_status": "Critical",
         "data_quality_status": "Healthy", "lead_time_risk_model_auc": 0.6003, "open_inventory_anomalies": 415,
+        "thresholds": {
+            "wmape_warning": 0.2, "wmape_critical": 0.28, "psi_warning": 0.1, "psi_critical": 0.25, "dq_pass_rate_warning": 0.97,
+            "dq_pass_rate_critical": 0.93, "late_delivery_rate_warning": 0.2, "late_delivery_rate_critical": 0.3,
+        },
     }
     empty = one(monitoring.monitoring_summary(performance.limit(0), drift.limit(0), dq, None, spark.range(0)))
     assert (empty["forecast_status"], empty["drift_status"], empty["latest_weekly_wmape"]) == ("Unknown", "Unknown", None)
@@ -135,6 +139,11 @@ def test_business_kpis(spark):
     assert got["annualised_cogs_estimate_aud"] == 60 * 36.5 and got["annual_lost_sales_estimate_aud"] == 292.0
     assert got["inventory_turns_baseline"] == round(60 * 36.5 / 40, 2)
     assert got["data_quality_pass_rate"] == 0.95 and got["manual_override_rate_baseline"] == 0.04
+    assert got["targets"]["inventory_turns_improvement"] == 0.05 and len(got["targets"]) == 7
+    assert got["forecast_wmape_baseline"] is None
+    improvement = spark.createDataFrame([(0.4, 0.3, 25.0)], "baseline_wmape double, advanced_wmape double, relative_improvement_pct double")
+    told = one(kpis.business_kpis(sales, outs, stock, skus, dq, overrides, improvement))
+    assert (told["forecast_wmape_baseline"], told["forecast_wmape_advanced"], told["forecast_accuracy_relative_improvement_pct"]) == (0.4, 0.3, 25.0)
     value = one(kpis.value_estimate(kpis.business_kpis(sales, outs, stock, skus, dq, overrides)))
     assert value["recovered_sales_high"] == 58.4 and value["planner_value_per_year"] == 18720.0
     nothing = one(kpis.business_kpis(sales.limit(0), outs, stock, skus, dq, overrides))
