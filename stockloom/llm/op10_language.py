@@ -29,19 +29,58 @@ from stockloom.shipping import hand_back_memory, share, ship_with_tasks
 MAX_DOCS, MAX_WORDS, MAX_GRAMS, GRAM = 20_000, 30_000, 20_000, 4
 UNKNOWN = "und"
 PARTS = 32
-CACHED, SLICE = 80_000, 1_000_000
+CACHED, SLICE, BLOCK = 80_000, 1_000_000, 10_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(chunk: str) -> list[str]:
     """Lower-cased runs of letters."""
-    return [w for w in WORD.findall(chunk.lower()) if w.isalpha() or any(map(str.isalpha, w))]
+    low = chunk.lower()
+    return [low] if low.isalpha() else [w for w in WORD.findall(low) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def grams_of(word: str, n: int) -> list[str]:
     return [word[i : i + n] for i in range(len(word) - n + 1)]
 
 
+class Grams:
+    """Known n-grams as a tree of their letters, climbed from all places of many words at once.
+
+    The nodes of a length are numbered by their key: the node of all letters but the last, and the last letter. Node 0 and
+    letter 0 are unknown and lead nowhere.
+    """
+
+    def __init__(self, index: dict[int, dict[str, int]]) -> None:
+        """``index``: by length, the row of each n-gram."""
+        letters = sorted({c for n in range(1, GRAM + 1) for g in index[n] for c in g})
+        self.letters = np.zeros(ord(letters[-1]) + 2 if letters else 1, np.int64)  # the last one: beyond all known letters
+        self.letters[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        code = {c: i for i, c in enumerate(letters, 1)}
+        nodes: dict[str, int] = dict(code)
+        self.keys: dict[int, np.ndarray] = {}
+        self.rows = {1: np.array([-1, *(index[1].get(c, -1) for c in letters)])}
+        for n in range(2, GRAM + 1):
+            starts = {g[:n] for k in range(n, GRAM + 1) for g in index[k]}
+            found = sorted((nodes[g[:-1]] << 32 | code[g[-1]], g) for g in starts)
+            self.keys[n] = np.array([-1, *(k for k, _ in found)], np.int64)
+            self.rows[n] = np.array([-1, *(index[n].get(g, -1) for _, g in found)])
+            nodes = {g: i for i, (_, g) in enumerate(found, 1)}
+
+    def rows_of(self, words: list[str]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+        """The word that each place of all words belongs to, and by length the row of the n-gram that begins there, -1 if
+        unknown. The place after a word belongs to it, too."""
+        points = np.frombuffer("\0".join([*words, ""]).encode("utf-32-le"), "<u4")  # no n-gram reaches across the zero
+        letters = self.letters[np.minimum(points, len(self.letters) - 1)]
+        node, rows = letters, {1: self.rows[1][letters]}
+        for n in range(2, GRAM + 1):
+            keys, key = self.keys[n], node[:-1] << 32 | letters[n - 1 :]
+            at = np.searchsorted(keys, key)
+            at[at == len(keys)] = 0
+            node = np.where(keys[at] == key, at, 0)
+            rows[n] = self.rows[n][node]
+        return np.repeat(np.arange(len(words)), np.diff(np.flatnonzero(points == 0), prepend=-1)), rows
+
+
 class Model:
     """Languages, and of each known word and n-gram its log frequencies in them."""
 
@@ -54,7 +93,7 @@ class Model:
         seen: dict[int, dict[str, int]] = {n: {} for n in range(GRAM + 1)}
         for _, n, s, _ in counts:
             seen[n].setdefault(s, len(seen[n]))
-        self.index, self.table, self.met = seen, {}, {}
+        self.words, self.grams, self.table, self.met = seen[0], Grams(seen), {}, {}
         for n, index in seen.items():
             found = np.zeros((len(index), len(self.languages)))
             for lang, k, s, c in counts:
@@ -101,52 +140,62 @@ class Identifier:
         if len(filled):
             totals[filled] = np.add.reduceat(each, offsets[filled], axis=0)
         width = len(self.model.languages)
-        for row in totals.tolist():
-            total, n, known = row[:width], row[width], row[width + 1 :]
-            if not n or not total:
-                yield UNKNOWN, 0.0, 0.0
-                continue
-            best = max(range(width), key=total.__getitem__)
-            scale = min(n, 20.0) / n
-            yield self.model.languages[best], float(1 / np.exp((np.array(total) - total[best]) * scale).sum()), known[best] / n
+        total, n, known = totals[:, :width], totals[:, width], totals[:, width + 1 :]
+        told = np.flatnonzero(n)
+        langs, scores, shares = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+        if len(told):
+            total, n, known = total[told], n[told], known[told]
+            every, best = np.arange(len(told)), total.argmax(axis=1)
+            scale = np.minimum(n, 20.0) / n
+            scores[told] = 1 / np.exp((total - total[every, best][:, None]) * scale[:, None]).sum(axis=1)
+            shares[told] = known[every, best] / n
+            for i, lang in zip(told.tolist(), best.tolist(), strict=True):
+                langs[i] = self.model.languages[lang]
+        return zip(langs, scores.tolist(), shares.tolist(), strict=True)
 
     def _sums(self, chunks: list[str]) -> np.ndarray:
         words = [words_of(c) for c in chunks]
-        distinct = list({w for found in words for w in found})
-        rows = {w: i for i, w in enumerate(distinct)}
+        rows: dict[str, int] = {}
+        at = [rows.setdefault(w, len(rows)) for found in words for w in found]
+        distinct = list(rows)
         width = len(self.model.languages)
-        scores, known = np.zeros((len(distinct), width)), np.zeros((len(distinct), width))
-        longest, met = self.model.index[GRAM], self.model.met
-        parts: dict[int, tuple[list[int], list[int], list[int]]] = {n: ([], [], []) for n in range(GRAM + 1)}
-        for i, w in enumerate(distinct):
-            whole = self.model.index[0].get(w)
-            if grams := grams_of(w, GRAM):
-                if hit := [r for g in grams if (r := longest.get(g)) is not None]:
-                    known[i] = met[GRAM][hit].sum(axis=0) / len(grams)
-            if whole is not None:
-                known[i] = np.maximum(known[i], met[0][whole])
-            if whole is not None:
-                scores[i] = self.model.table[0][whole]
-                continue
-            for n in range(GRAM, 0, -1):
-                index = self.model.index[n]
-                if hit := [r for g in grams_of(w, n) if (r := index.get(g)) is not None]:
-                    owners, starts, flat = parts[n]
-                    owners.append(i)
-                    starts.append(len(flat))
-                    flat += hit
-                    break
-        for n, (owners, starts, flat) in parts.items():
-            if owners:
-                ends = np.array([*starts[1:], len(flat)]) - np.array(starts)
-                scores[owners] = np.add.reduceat(self.model.table[n][flat], starts, axis=0) / ends[:, None]
         out = np.zeros((len(chunks), self.sums.shape[1]))
-        for i, found in enumerate(words):
-            if found:
-                at = [rows[w] for w in found]
-                out[i, :width] = scores[at].sum(axis=0) if len(at) > 1 else scores[at[0]]
-                out[i, width] = len(found)
-                out[i, width + 1 :] = known[at].sum(axis=0) if len(at) > 1 else known[at[0]]
+        if not distinct or not width:
+            return out
+        rated = np.concatenate([self._rated(distinct[i : i + BLOCK]) for i in range(0, len(distinct), BLOCK)])
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        filled = np.flatnonzero(sizes)
+        sums = np.add.reduceat(rated[at], (np.cumsum(sizes) - sizes)[filled], axis=0)
+        out[filled, :width], out[filled, width], out[filled, width + 1 :] = sums[:, :width], sizes[filled], sums[:, width:]
+        return out
+
+    def _rated(self, words: list[str]) -> np.ndarray:
+        """Of each word its log frequencies, and how much of it is known, in each language."""
+        model, width = self.model, len(self.model.languages)
+        out = np.zeros((len(words), 2 * width))
+        scores, known = out[:, :width], out[:, width:]
+        whole = np.array([-1 if (r := model.words.get(w)) is None else r for w in words])
+        owners, rows = model.grams.rows_of(words)
+        unseen = whole < 0
+        for n in range(GRAM, 0, -1):
+            hit = rows[n] >= 0
+            if n < GRAM:
+                hit &= unseen[owners[: len(hit)]]
+            places = np.flatnonzero(hit)
+            if not len(places):
+                continue
+            mine, flat = owners[places], rows[n][places]
+            starts = np.flatnonzero(np.diff(mine, prepend=-1))
+            mine, hits = mine[starts], np.diff(starts, append=len(flat))
+            if n == GRAM:
+                every = np.bincount(owners)[mine] - GRAM  # n-grams of the word, known or not
+                known[mine] = np.add.reduceat(model.met[n][flat].astype(float), starts, axis=0) / every[:, None]
+            now = unseen[mine]
+            scores[mine[now]] = (np.add.reduceat(model.table[n][flat], starts, axis=0) / hits[:, None])[now]
+            unseen[mine] = False
+        seen = np.flatnonzero(whole >= 0)
+        scores[seen] = model.table[0][whole[seen]]
+        known[seen] = np.maximum(known[seen], model.met[0][whole[seen]])
         return out
 
 
