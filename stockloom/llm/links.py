@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.llm.common import stored
+from stockloom.sources.durable import drop_tables
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -13,7 +14,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Large-star and small-star steps in turn: each node's larger neighbours, then its smaller ones, are tied to the smallest
     node nearby, until all edges of a component meet in its smallest node. Every step is a grouped minimum and a join on
-    nodes; each round is written to the shared folder. Nodes must be comparable and not null; links of a node to itself,
+    nodes; each round is written to the shared folder, where it takes the place of the one before. Nodes must be comparable and not null; links of a node to itself,
     repeated links and an empty table are fine.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
@@ -30,4 +31,5 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = stored(large, "links")
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))))).where("u <> v").distinct()
-        edges = stored(small, "links")
+        old, edges = edges, stored(small, "links")
+        drop_tables(old, large)

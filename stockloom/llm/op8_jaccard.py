@@ -4,7 +4,10 @@ A set's shingles are hashed to 64 bits; equal sets are one set. Sets that can be
 hash range is cut into regions, as many for all sets whose sizes may match, and two sets meet if they agree on the whole
 content of a region. Small sets use more regions than a link has differences, so one region always agrees; larger ones use
 a fixed number of regions, each of which agrees with a chance above 0.46 for a link at the threshold, so that a link is missed
-with a chance below 10^-12. Sets that meet, directly or by others, form a group.
+with a chance below 10^-12. Common passages make sets meet that have little else in common, and ever more of them in a larger
+table. So sets that meet are held against each other by the parity of their tokens' lowest bits: no more bits differ than
+tokens do, so a pair that differs in more bits than a link may have differences is none. Sets that are left as possible links,
+directly or by others, form a group.
 
 Inside a group the trees work: sets sorted by size are the leaves, every node holds the range of the sizes and the bitmaps
 of the tokens that any and that all of its sets have. Two trees are traversed together, and a pair of nodes is left out if
@@ -29,12 +32,14 @@ from stockloom.llm.bpe import slices, uncollected
 from stockloom.llm.common import stored, table
 from stockloom.llm.links import components
 from stockloom.shipping import hand_back_memory, share, ship_with_tasks
+from stockloom.sources.durable import drop_tables
 
 WORDS, SIMILARITY = 5, (80, 100)
 MISSED = 1e-12
 WIDTH = 2  # steps of the largest ratio of two linked sizes in a class of the regions
 CELL = 1 << 40  # tiles of a class of size are numbered from its multiple of this
 TILE, TILE_TOKENS, LEAF, BUNDLE = 2048, 2_000_000, 16, 2000
+BLOCK, BLOCK_TOKENS, FEW = 32_768, 32_000_000, 16  # sets of a key, and their tokens, that a task holds by their parities; keys with few sets are compared side by side
 BROADCAST_ROWS = 1_000_000
 CACHED, SLICE = 100_000, 4_000_000  # words a Python worker keeps; bytes of text worked on at a time
 
@@ -130,6 +135,117 @@ class Regions:
         return keys
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """A bit for each value of the lowest bits of a token, two to four bits a token: whether an odd number of tokens has it."""
+    width = max(64, 1 << (2 * len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(words: np.ndarray, start: np.ndarray, width: np.ndarray, to: int) -> np.ndarray:
+    """Parities of ``width`` words, which begin at ``start``, all brought down to ``to`` words."""
+    out = np.zeros((len(start), to), np.uint64)
+    for w in np.unique(width):
+        at = np.flatnonzero(width == w)
+        out[at] = np.bitwise_xor.reduce(words[start[at, None] + np.arange(w)].reshape(len(at), -1, to), axis=1)
+    return out
+
+
+def _possible(similarity: tuple[int, int]):
+    """Function of the sets of one pair of tiles of a key, or of several whole keys: sets that may link, enough of the pairs
+    to connect all of them that are."""
+    share, whole = similarity
+
+    def may_link(differ: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        return whole * (sizes - differ) >= share * (sizes + differ)
+
+    def connected(bits: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Sets by size; each is compared with those that nothing is connected to so far."""
+        rest, near = np.arange(len(n)), bits
+        while len(rest):
+            todo, rest, near = [rest[-1]], rest[:-1], near[:-1]
+            while todo and len(rest):
+                i = todo.pop()
+                low, high = np.searchsorted(n[rest], [-(-share * n[i] // whole), whole * n[i] // share + 1])
+                found = low + np.flatnonzero(may_link(np.bitwise_count(near[low:high] ^ bits[i]).sum(1, dtype=np.int64), n[rest[low:high]] + n[i]))
+                if len(found):
+                    yield i, rest[found]
+                    todo += rest[found].tolist()
+                    rest, near = np.delete(rest, found), np.delete(near, found, axis=0)
+
+    def possible(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        key, sid, n = (rows.column(c).to_numpy() for c in ("key", "sid", "n"))
+        order = np.lexsort([sid, n, key])
+        again = np.zeros(len(order), bool)  # a set comes twice where several tasks have read its text
+        again[1:] = (np.diff(key[order]) == 0) & (np.diff(sid[order]) == 0)
+        order = order[~again]
+        key, sid, n = key[order], sid[order], n[order]
+        parities = pa.concat_arrays(rows.column("parity").cast(pa.binary()).chunks)
+        ends = np.frombuffer(parities.buffers()[1], np.int32)[parities.offset : parities.offset + len(parities) + 1].astype(np.int64)
+        words = np.frombuffer(parities.buffers()[2], np.uint8)[ends[0] : ends[-1]].view("<u8")
+        start, width = ((ends[:-1] - ends[0]) // 8)[order], (np.diff(ends) // 8)[order]
+        first = np.flatnonzero(np.concatenate([[True], np.diff(key) != 0]))
+        sets = np.diff(np.append(first, len(key)))
+        least = np.repeat(np.minimum.reduceat(width, first), sets)
+        few = np.repeat(sets <= FEW, sets)
+        a: list[np.ndarray] = []
+        b: list[np.ndarray] = []
+        for w in np.unique(least[few]):
+            at = np.flatnonzero(few & (least == w))
+            bits = folded(words, start[at], width[at], int(w))
+            for apart in range(1, FEW):
+                i = np.flatnonzero(key[at[:-apart]] == key[at[apart:]])
+                if not len(i):
+                    break
+                x, y = at[i], at[i + apart]
+                found = may_link(np.bitwise_count(bits[i] ^ bits[i + apart]).sum(1, dtype=np.int64), n[x] + n[y])
+                a.append(sid[x[found]])
+                b.append(sid[y[found]])
+        for s, m in zip(first[sets > FEW], sets[sets > FEW], strict=True):
+            at = np.arange(s, s + m)
+            for i, found in connected(folded(words, start[at], width[at], int(least[s])), n[at]):
+                a.append(np.full(len(found), sid[s + i]))
+                b.append(sid[s + found])
+        nothing = np.zeros(0, np.int64)
+        return pa.table({"a": np.concatenate([nothing, *a]), "b": np.concatenate([nothing, *b])})
+
+    return possible
+
+
+def candidates(known: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """``a, b``: sets that agree on a region and by their parities may link, enough of the pairs to connect all of these.
+
+    A key that a very large number of sets has is cut into tiles, of which each two are a task's work.
+    """
+    meeting = known.select("sid", F.explode("keys").alias("key"))
+    shared = meeting.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("key")
+    shared = stored(shared, "shared-keys")  # read again, so that a skewed join can be split
+    met = stored(meeting.join(shared.hint("shuffle_hash"), "key").select("key", "sid"), "meetings")
+    drop_tables(shared)
+    parities = known.where("parity is not null").groupBy("sid").agg(F.first("parity").alias("parity"), F.max("n").alias("n"))
+    sets = met.join(parities, "sid")
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS)).alias("parts")
+    large = stored(sets.groupBy("key").agg(parts).where("parts > 1"), "large-keys")  # one for BLOCK rows at most
+    sets = sets.join(F.broadcast(large), "key", "left").withColumn("tile", F.pmod(F.xxhash64("sid"), F.col("parts")))
+    others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), lambda i: i != F.col("tile"))
+    alone = F.col("parts").isNull()
+    sets = sets.select("key", "sid", "n", "parity", "tile", alone.alias("alone"), F.explode(F.when(alone, F.array(F.lit(-1).cast("bigint"))).otherwise(others)).alias("other"))
+    bundle = F.pmod(F.xxhash64("key"), F.lit(met.count() // BUNDLE + 1))
+    sets = sets.select(
+        "key",
+        "sid",
+        "n",
+        "parity",
+        F.when(F.col("alone"), bundle).otherwise(F.col("key")).alias("owner"),
+        F.when(F.col("alone"), -1).otherwise(F.least("tile", "other")).alias("x"),
+        F.when(F.col("alone"), -1).otherwise(F.greatest("tile", "other")).alias("y"),
+    )
+    found = stored(sets.groupBy("owner", "x", "y").applyInArrow(_possible(similarity), "a bigint, b bigint"), "possible-links")
+    drop_tables(met, large)
+    return found
+
+
 class Tree:
     """Nodes over sets sorted by size: a range of places, sizes, bitmaps of tokens in any and in all sets, two children."""
 
@@ -267,18 +383,19 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     def summarised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         regions, seen, found = Regions(fraction), set(), shingles()
         for batch in batches:
-            sizes, ids, keys = [], [], []
+            sizes, ids, keys, bits = [], [], [], []
             for run in slices(batch.column(1), SLICE):
                 for tokens in found.sets(run):
                     sizes.append(len(tokens))
                     ids.append(_identity(tokens) if len(tokens) else None)
                     new = len(tokens) and ids[-1] not in seen
                     keys.append(regions.keys(tokens).view(np.int64) if new else np.zeros(0, np.int64))
+                    bits.append(parity(tokens) if new else None)
                     if new and len(seen) < CACHED:
                         seen.add(ids[-1])
             ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), lists], ["doc_id", "n", "sid", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), lists, pa.array(bits, pa.binary())], ["doc_id", "n", "sid", "keys", "parity"])
         hand_back_memory()
 
     def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,16 +406,14 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
                 yield pa.RecordBatch.from_arrays([pa.array([_identity(t) for t in found], pa.int64()), pa.array([len(t) for t in found], pa.int64()), pa.array([t.tobytes() for t in found], pa.binary())], ["sid", "n", "tokens"])
         hand_back_memory()
 
-    known = stored(rows.mapInArrow(summarised, "doc_id bigint, n bigint, sid bigint, keys array<bigint>"), "shingle-keys")
+    known = stored(rows.mapInArrow(summarised, "doc_id bigint, n bigint, sid bigint, keys array<bigint>, parity binary"), "shingle-keys")
     with_id = known.where("doc_id is not null and sid is not null")
-    meeting = with_id.select("sid", F.explode("keys").alias("key"))
-    shared = meeting.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("key", "low")
-    shared = stored(shared, "shared-keys")  # read again, so that a skewed join can be split
-    candidates = meeting.join(shared.hint("shuffle_hash"), "key").where("sid <> low").select("sid", "low").distinct()
-    groups = stored(components(candidates, "sid", "low").withColumnRenamed("node", "sid"), "set-groups")
+    possible = candidates(with_id, similarity)
+    groups = stored(components(possible, "a", "b").withColumnRenamed("node", "sid"), "set-groups")
+    drop_tables(possible)
     firsts = with_id.join(groups, "sid").groupBy("sid", "root").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
     firsts = stored(firsts, "first-documents")
-    wanted = stored(firsts.select("doc_id").distinct(), "group-documents")
+    documents = wanted = stored(firsts.select("doc_id").distinct(), "group-documents")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     sets = rows.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(fetched, "sid bigint, n bigint, tokens binary")
@@ -337,6 +452,7 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
         F.when(F.col("alone"), bundle).otherwise(F.col("root")).alias("owner"),
     )
     links = stored(sets.groupBy("owner", "x", "y").applyInArrow(_joined(similarity), "a bigint, b bigint"), "set-links")
+    drop_tables(groups, firsts, documents)
     roots = components(links, "a", "b").withColumnRenamed("node", "sid")
     smallest = with_id.groupBy("sid").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     smallest = smallest.join(roots, "sid", "left").where("copies > 1 or root is not null").withColumn("root", F.coalesce("root", "sid"))

@@ -97,3 +97,54 @@ def test_given_documents(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     found = [(r.doc_id, r.n_shingles, r.component_id) for r in op8_jaccard_join(spark, folder).collect()]
     assert sorted(found, key=str) == brute_force(rows, 3, (90, 100))
+
+
+def test_common_passages_make_no_groups(spark, monkeypatch):
+    """Texts that share a passage agree on regions, but are too different to be compared; copies still meet."""
+    from stockloom.llm import op8_jaccard
+
+    kept = {}
+
+    def keep(df, name, stored=op8_jaccard.stored):
+        kept[name] = stored(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(op8_jaccard, "stored", keep)
+    monkeypatch.setattr(op8_jaccard, "drop_tables", lambda *tables: None, raising=False)
+    rnd = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join([*passage, *(f"w{rnd.randint(0, 10**9)}" for _ in range(rnd.randint(60, 160)))])) for i in range(300)]
+    rows += [(1000 + i, t + " end") for i, t in rows[:20]]
+    check(spark, rows, 5, (80, 100))
+    assert kept["set-groups"].count() <= 60
+
+
+@pytest.mark.parametrize("block, tokens, few", [(3, 10**9, 2), (10**9, 400, 16), (10**9, 10**9, 2)])
+def test_keys_of_many_tiles(spark, monkeypatch, block, tokens, few):
+    from stockloom.llm import op8_jaccard
+
+    monkeypatch.setattr(op8_jaccard, "BLOCK", block)
+    monkeypatch.setattr(op8_jaccard, "BLOCK_TOKENS", tokens)
+    monkeypatch.setattr(op8_jaccard, "FEW", few)
+    rnd = random.Random(5)
+    words = [rnd.choice("abcdefghij") + str(i) for i in range(120)]
+    rows = [(i, " ".join(w if rnd.random() > 0.015 else f"x{rnd.randint(0, 99)}" for w in words[: rnd.randint(85, 120)])) for i in range(60)]
+    check(spark, rows, 3, (80, 100))
+
+
+def test_parities_never_differ_more_than_tokens():
+    import numpy as np
+
+    from stockloom.llm.op8_jaccard import folded, parity
+
+    rnd = np.random.default_rng(3)
+    for n in (1, 2, 31, 33, 64, 500, 3000):
+        a = np.unique(rnd.integers(0, 2**64, n, np.uint64))
+        for gone, new in ((0, 0), (n // 20, n // 15), (n, n // 2)):
+            b = np.unique(np.concatenate([a[gone:], rnd.integers(0, 2**64, new, np.uint64)]))
+            bits = [np.frombuffer(parity(x), "<u8") for x in (a, b)]
+            width = np.array([len(x) for x in bits])
+            both = folded(np.concatenate(bits), np.array([0, width[0]]), width, int(width.min()))
+            differ = int(np.bitwise_count(both[0] ^ both[1]).sum())
+            assert differ <= gone + new and (differ - len(a) - len(b)) % 2 == 0
+            assert differ > 0 or gone + new < 3

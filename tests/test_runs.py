@@ -125,3 +125,23 @@ def test_query_equals_its_sql(spark, name):
     from checks.compare import compare, connect
 
     assert compare(spark, connect(DATA), QUERIES[name], ORACLE[name], DATA) == ""
+
+
+def test_written_results_leave_no_shuffle_files(spark):
+    import time
+
+    def shuffled():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle")}
+
+    from stockloom.llm.common import stored
+
+    for write in (durable, stored):
+        before = shuffled()
+        df = spark.range(50_000).repartition(7, "id").groupBy("id").count()
+        kept = write(df, "shuffled")
+        until = time.time() + 20
+        while (left := shuffled() - before) and time.time() < until:
+            time.sleep(0.2)
+        assert not left and kept.count() == 50_000
+        assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
