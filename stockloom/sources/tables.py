@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockloom.functions.columns import month_start
-from stockloom.sources.durable import drop_folder, durable
+from stockloom.sources.durable import drop_folder, drop_tables, durable, shuffles_dropped
 from stockloom.sources.schemas import PARTITION_DATES, RAW_SCHEMAS, SERVICE_LEVEL_SCHEMA
 
 MONTH = "load_month"
+MERGED_ROWS = 10_000_000  # rows of the months that are merged in one step
 
 
 def read_raw(
@@ -50,19 +51,21 @@ def write_layer(tables: Mapping[str, DataFrame], folder: str, layer: str) -> Non
     for name, df in tables.items():
         path = f"{folder.rstrip('/')}/{layer}/{name}"
         date = PARTITION_DATES.get(name)
-        if date is None:
-            df.write.mode("overwrite").parquet(path)
-        else:
-            # Rows of a month are brought together for few files; the adaptive rebalance splits a month that is too large.
-            out = df.withColumn(MONTH, month_start(date)).hint("rebalance", F.col(MONTH))
-            out.write.mode("overwrite").partitionBy(MONTH).parquet(path)
+        with shuffles_dropped(df.sparkSession):
+            if date is None:
+                df.write.mode("overwrite").parquet(path)
+            else:
+                # Rows of a month are brought together for few files; the adaptive rebalance splits a month that is too large.
+                out = df.withColumn(MONTH, month_start(date)).hint("rebalance", F.col(MONTH))
+                out.write.mode("overwrite").partitionBy(MONTH).parquet(path)
 
 
 def replace_months(df: DataFrame, folder: str, layer: str, name: str) -> None:
     """Write a fact so that only the months ``df`` has rows in are replaced; all other month folders stay as they are."""
     out = df.withColumn(MONTH, month_start(PARTITION_DATES[name])).hint("rebalance", F.col(MONTH))
     path = f"{folder.rstrip('/')}/{layer}/{name}"
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
 
 
 def merge_months(df: DataFrame, folder: str, layer: str, name: str, keys: list[str]) -> None:
@@ -70,28 +73,48 @@ def merge_months(df: DataFrame, folder: str, layer: str, name: str, keys: list[s
 
     Months are rewritten only if they get a row or lose one, as a correction may move a row to another month. The keys are
     looked up in all months, whole rows are read from the touched ones only. The touched months (as many as the calendar
-    has) are all that reaches the driver. Rows with a null in their keys replace nothing. Rows of ``df`` that share
-    their keys all stay. The merged months are written aside before they replace the old ones.
+    has) and their numbers of rows are all that reaches the driver. Rows with a null in their keys replace nothing. Rows of
+    ``df`` that share their keys all stay. Months are merged in steps of some ``MERGED_ROWS`` rows, so that no more than these
+    are moved and held twice at a time; the merged months of a step are written aside before they replace the old ones.
     """
     spark = df.sparkSession
     path = f"{folder.rstrip('/')}/{layer}/{name}"
+    label = name.replace("_", "-")
     stored = spark.read.parquet(path)
-    late = durable(df.select(*[c for c in stored.columns if c != MONTH]), f"late-{name}".replace("_", "-"))
+    late = durable(df.select(*[c for c in stored.columns if c != MONTH]), f"late-{label}")
     new = late.withColumn(MONTH, month_start(PARTITION_DATES[name]))
     replaced = stored.select(*keys, MONTH).join(late.select(*keys).distinct(), keys, "left_semi")
-    touched = [r[MONTH] for r in new.select(MONTH).union(replaced.select(MONTH)).distinct().collect()]
-    here = F.col(MONTH).isin([m for m in touched if m is not None])
-    if None in touched:
-        here = here | F.col(MONTH).isNull()
-    kept = stored.where(here).join(late.select(*keys).distinct(), keys, "left_anti")
-    merged = durable(kept.drop(MONTH).unionByName(late), f"merged-{name}".replace("_", "-"))
-    replace_months(merged, folder, layer, name)
-    filled = {r[MONTH] for r in merged.select(month_start(PARTITION_DATES[name]).alias(MONTH)).distinct().collect()}
-    for month in set(touched) - filled:
-        drop_folder(spark, f"{path}/{MONTH}={'__HIVE_DEFAULT_PARTITION__' if month is None else month}")
-    for written in (late, merged):
-        for file in written.inputFiles()[:1]:
-            drop_folder(spark, file.rsplit("/", 1)[0])
+    replaced = durable(replaced, f"replaced-{label}")
+    with shuffles_dropped(spark):
+        rows = {r[MONTH]: r["rows"] for r in stored.groupBy(MONTH).agg(F.count("*").alias("rows")).collect()}
+        added = {r[MONTH]: r["rows"] for r in new.groupBy(MONTH).agg(F.count("*").alias("rows")).collect()}
+        lost = {r[MONTH] for r in replaced.select(MONTH).distinct().collect()}
+    touched = sorted(added.keys() | lost, key=lambda m: (m is None, m))
+    for months in _steps([(m, rows.get(m, 0) + added.get(m, 0)) for m in touched]):
+        here = F.col(MONTH).isin([m for m in months if m is not None])
+        if None in months:
+            here = here | F.col(MONTH).isNull()
+        kept = stored.where(here).join(replaced.where(here).select(*keys).distinct(), keys, "left_anti")
+        merged = durable(kept.drop(MONTH).unionByName(new.where(here).drop(MONTH)), f"merged-{label}")
+        replace_months(merged, folder, layer, name)
+        with shuffles_dropped(spark):
+            filled = {r[MONTH] for r in merged.select(month_start(PARTITION_DATES[name]).alias(MONTH)).distinct().collect()}
+        for month in set(months) - filled:
+            drop_folder(spark, f"{path}/{MONTH}={'__HIVE_DEFAULT_PARTITION__' if month is None else month}")
+        drop_tables(merged)
+    drop_tables(late, replaced)
+
+
+def _steps(months: list[tuple]) -> list[list]:
+    """Neighbouring months with up to ``MERGED_ROWS`` rows together; a larger month is a step of its own."""
+    steps, size = [], 0
+    for month, rows in months:
+        if not steps or size + rows > MERGED_ROWS:
+            steps.append([])
+            size = 0
+        steps[-1].append(month)
+        size += rows
+    return steps
 
 
 def read_layer(spark: SparkSession, folder: str, layer: str, names: Iterable[str]) -> dict[str, DataFrame]:

@@ -210,3 +210,40 @@ def test_late_rows_replace_their_months_only(spark, tmp_path):
     assert len(state()) == 7
     replace_months(rows(("e", "2024-01-01", 9)), str(tmp_path), "gold", "fact_purchase_orders")
     assert [x for x in state() if x[1].startswith("2024-01")] == [("e", "2024-01-01", 9)] and len(state()) == 6
+
+
+@pytest.mark.parametrize("most", [1, 3, 10**9])
+def test_months_are_merged_in_steps(spark, tmp_path, monkeypatch, most):
+    import datetime
+    import random
+
+    from stockloom.sources import tables
+
+    schema, seen, durable = "po_id string, order_date date, quantity_ordered long", [], tables.durable
+
+    def frame(given):
+        return spark.createDataFrame(given, schema)
+
+    def keep(df, name):
+        out = durable(df, name)
+        if name.startswith("merged"):
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(tables, "MERGED_ROWS", most, raising=False)
+    monkeypatch.setattr(tables, "durable", keep)
+    rnd = random.Random(2)
+
+    def some_day():
+        return None if rnd.random() < 0.1 else datetime.date(2024, rnd.randint(1, 5), rnd.randint(1, 28))
+
+    first = [(f"k{i}" if i % 9 else None, some_day(), i) for i in range(14)]
+    late = [(f"k{i}" if i % 9 else None, some_day(), 100 + i) for i in (2, 3, 3, 5, 9, 30, 31)]
+    write_layer({"fact_purchase_orders": frame(first)}, str(tmp_path), "gold")
+    tables.merge_months(frame(late), str(tmp_path), "gold", "fact_purchase_orders", ["po_id"])
+    gone = {k for k, _, _ in late if k}
+    back = read_layer(spark, str(tmp_path), "gold", ["fact_purchase_orders"])["fact_purchase_orders"]
+    want = [r for r in first if r[0] not in gone] + late
+    assert sorted(map(str, ((r.po_id, r.order_date, r.quantity_ordered) for r in back.collect()))) == sorted(map(str, want))
+    assert all((r.load_month is None) == (r.order_date is None) and (r.load_month is None or r.load_month == r.order_date.replace(day=1)) for r in back.collect())
+    assert len(seen) == 1 if most > 100 else len(seen) > 2
