@@ -11,7 +11,7 @@ from stockloom.functions.banding import DEFAULTS
 from stockloom.functions.columns import rounded, safe_divide
 from stockloom.functions.quantiles import range_parts
 from stockloom.operators.boosting import LOGISTIC, BoostedTrees, fit_boosted_trees
-from stockloom.sources.durable import durable
+from stockloom.sources.durable import drop_tables, durable
 
 # Model inputs, in order.
 FEATURES = [
@@ -23,6 +23,8 @@ FEATURES = [
     "category_enc",
 ]
 
+BROADCAST_ROWS = 1_000_000  # up to so many SKUs or suppliers are sent to each executor
+
 
 def order_features(orders: DataFrame, suppliers: DataFrame, skus: DataFrame) -> DataFrame:
     """Late flag, quoted lead time, month and supplier and product attributes of orders for known SKUs."""
@@ -59,13 +61,21 @@ class RiskResult:
 def encoded(df: DataFrame, column: str, code: str) -> DataFrame:
     """``df`` with the place of a value among all values in alphabetical order; -1 for a missing one.
 
-    The distinct values (regions, categories) are few; they are ranked by themselves and joined back.
+    The distinct values (regions, categories) are few; they are ranked by themselves, written, so that their size is known
+    and the rows of ``df`` need not move, and joined back.
     """
     kinds = df.select(F.col(column).alias("kind")).where("kind is not null").distinct()
     ranked = kinds.select("kind", (F.row_number().over(Window.orderBy("kind")) - 1).cast("double").alias(code))
+    ranked = durable(ranked, "kinds")
     return df.join(ranked, F.col(column) == F.col("kind"), "left").drop("kind").withColumn(code, F.coalesce(code, F.lit(-1.0)))
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A dimension as a table of known size, which is sent to the rows that look it up unless it is a large one."""
+    table = durable(df, name)
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def train_delivery_risk(
     orders: DataFrame,
     suppliers: DataFrame,
@@ -76,15 +86,21 @@ def train_delivery_risk(
     holdout: float = 0.25,
     seed: int = 42,
 ) -> RiskResult:
-    """Classifier, hold-out metrics, feature importance, scored orders and the risk by supplier, from one fit."""
+    """Classifier, hold-out metrics, feature importance, scored orders and the risk by supplier, from one fit.
+
+    The orders are written twice, with their features and with their scores; the first table is deleted then.
+    """
     spark = orders.sparkSession
-    features = order_features(orders, suppliers, skus)
-    features = encoded(encoded(features, "region_of_origin", "region_enc"), "category", "category_enc")
-    frame = durable(features.withColumn("in_holdout", in_holdout("po_id", "is_late", holdout, seed)), "order-features")
+    suppliers = written(suppliers.select("supplier_id", "reliability_score", "region_of_origin"), "order-suppliers")
+    skus = written(skus.select("sku_id", "category"), "order-skus")
+    features = order_features(orders, suppliers, skus).withColumn("in_holdout", in_holdout("po_id", "is_late", holdout, seed))
+    features = durable(features, "order-features")
+    frame = encoded(encoded(features, "region_of_origin", "region_enc"), "category", "category_enc")
     model = fit_boosted_trees(
         frame.where(~F.col("in_holdout")), FEATURES, "is_late", LOGISTIC, rounds, step, 1 << depth, depth, l2=0.0, min_leaf=1
     )
     scored = durable(model.score(frame, "late_risk_score").drop("region_enc", "category_enc"), "order-risk")
+    drop_tables(features)
     metrics = scored.agg(
         F.count_if(~F.col("in_holdout")).alias("n_train"),
         F.count_if("in_holdout").alias("n_test"),

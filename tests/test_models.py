@@ -195,3 +195,30 @@ def test_registered_model_queries_use_the_library_defaults(spark, monkeypatch, n
     with pytest.raises(Reached) as reached:
         queries.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert reached.value.args[0] == {}
+
+
+def test_orders_stay_where_they_are_when_features_are_looked_up(spark, monkeypatch):
+    """SKUs and suppliers go to the orders whatever the plan expects of their size; one table of orders is left in the end."""
+    import os
+
+    from stockloom.sources.durable import durable
+
+    plans, kept = {}, {}
+
+    def keep(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        kept[name] = durable(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(delivery_risk, "durable", keep)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = delivery_risk.train_delivery_risk(orders(spark), *masters(spark), rounds=2)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plans["order-features"]
+    assert "SortMergeJoin" not in plans["order-features"] and "Exchange hashpartitioning" not in plans["order-features"]
+    assert result.scored.count() == one(result.supplier_risk.agg(F.sum("orders").alias("n")))["n"] > 0
+    folder = kept["order-features"].inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert not os.path.exists(folder)
